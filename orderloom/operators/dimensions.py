@@ -44,9 +44,9 @@ def geographies(customers: DataFrame) -> DataFrame:
 
 def customers(staged: DataFrame, geography: DataFrame) -> DataFrame:
     """Newest version of each customer, linked to its place with NULL matching NULL."""
-    newest = latest_staged(staged, "customer_id")
-    return newest.join(geography, null_safe_match(newest, geography, GEOGRAPHY), "left").select(
-        newest["customer_id"].alias("customer_nk"),
+    newest, place = latest_staged(staged, "customer_id").alias("newest"), geography.alias("place")
+    return newest.join(place, null_safe_match("newest", "place", GEOGRAPHY), "left").select(
+        F.col("customer_id").alias("customer_nk"),
         "email",
         "phone",
         "segment",
