@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Needed for right results or for surviving skew, so set whatever the cluster's defaults are.
@@ -13,6 +16,8 @@ REQUIRED = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join partition even when the split costs the next operator a shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
@@ -27,6 +32,20 @@ def spark_session(master: str | None = None, app_name: str = "orderloom", **conf
     return builder.getOrCreate()
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the required settings to a session made elsewhere."""
+    for key, value in REQUIRED.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def in_parallel(*steps: Callable[[], object]) -> list:
+    """Run independent jobs side by side, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        return [step.result() for step in running]
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder under the shared checkpoint folder, readable by every executor."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
