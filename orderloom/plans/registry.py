@@ -419,6 +419,7 @@ def batch_daily_sales(spark: SparkSession, folder: str) -> DataFrame:
             "order_items.csv": items.where(shipped),
         }
         in_parallel(
+            spark,
             *[
                 partial(_deliver, spark, f"{landing_root}/{day}", name, rows)
                 for name, rows in deliveries.items()

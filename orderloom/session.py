@@ -19,6 +19,8 @@ REQUIRED = {
     # Split a hot join partition even when the split costs the next operator a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Hash instead of sorting both sides where every partition of one side is this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 
@@ -39,10 +41,10 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def in_parallel(*steps: Callable[[], object]) -> list:
+def in_parallel(spark: SparkSession, *steps: Callable[[], object]) -> list:
     """Run independent jobs side by side, so that small ones do not wait for each other."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
         return [step.result() for step in running]
 
 
