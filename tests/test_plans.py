@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.operators import clean, dimensions, facts, marts
+from orderloom.operators.upsert import KeyList, rows_with_keys
 from orderloom.plans.registry import QUERIES
 from orderloom.plans.warehouse import Warehouse
 from orderloom.session import settle
@@ -50,7 +51,7 @@ LARGE = {
     "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2.0",
     "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "4k",
     "spark__sql__adaptive__advisoryPartitionSizeInBytes": "4k",
-    "spark__sql__adaptive__coalescePartitions__parallelismFirst": "false",
+    "spark__sql__adaptive__coalescePartitions__enabled": "false",
 }
 
 
@@ -81,6 +82,14 @@ def test_staging_scan_skips_files_by_load_time(spark, tmp_path):
     assert "GreaterThan(loaded_at,2002-01-02T00:00)" in plan(dimensions.dates(newer))
 
 
+def test_key_lookup_pushes_its_range_into_the_scan(spark, tmp_path):
+    held = settle(spark.range(100).select(F.col("id").cast("string").alias("order_nk"), "id"))
+    keys = spark.createDataFrame([("10",), ("20",)], "order_nk string")
+    for counted in (2, 10_000_000):
+        text = plan(rows_with_keys(held, KeyList(keys, counted, "10", "20")))
+        assert "GreaterThanOrEqual(order_nk,10), LessThanOrEqual(order_nk,20)" in text
+
+
 def test_scans_read_only_what_a_mart_needs(spark):
     text = QUERIES["mart_cohort_retention"](spark, FOLDER)
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan(text))

@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 
 from orderloom.operators import dimensions, facts, marts, quality
-from orderloom.operators.upsert import absent_rows, rows_with_keys, upsert
+from orderloom.operators.upsert import KeyList, absent_rows, rows_with_keys, upsert
 from orderloom.schemas import DIMENSIONS, FACTS
 
 AS_OF = date(2026, 6, 30)
@@ -202,7 +202,7 @@ def test_upsert_keeps_ids_and_numbers_the_new(spark):
 def test_key_lookup_is_complete_with_and_without_broadcast(spark, counted):
     table = spark.range(1000).selectExpr("cast(id as string) as k", "id")
     keys = frame(spark, "k string", ("7",), ("900",))
-    found = rows_with_keys(table, keys, "k", counted)
+    found = rows_with_keys(table, KeyList(keys, counted, "7", "900"))
     assert {"7", "900"} <= {r.k for r in found.collect()}
     assert ("Broadcast" in found._jdf.queryExecution().executedPlan().toString()) == (counted == 2)
 
