@@ -381,8 +381,7 @@ WITH {_ITEMS}, base AS (
     SELECT c_custkey AS customer_id, c_name AS customer_nk, lower(c_mktsegment) AS segment,
         CAST(max(o_orderdate) AS DATE) AS last_day, count(DISTINCT o_orderkey) AS frequency,
         coalesce(sum(net), 0) AS monetary
-    FROM customer
-    LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT') o ON o_custkey = c_custkey
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey
     LEFT JOIN items ON l_orderkey = o_orderkey GROUP BY ALL)
 SELECT customer_id, customer_nk, segment,
     CAST(DATE '2001-08-02' - coalesce(last_day, DATE '2001-08-02') AS INTEGER) AS recency_days, frequency,
