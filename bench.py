@@ -13,7 +13,7 @@ import time
 from functools import partial
 
 from orderloom.plans.registry import QUERIES
-from orderloom.session import spark_session
+from orderloom.session import release_scratch, spark_session
 
 HEADLINE = [
     "stg_orders_clean",
@@ -81,6 +81,7 @@ def main() -> None:
             }
         )
     )
+    release_scratch(spark)
     spark.stop()
 
 

@@ -10,6 +10,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from orderloom.sources import files
+
 # Needed for right results or for surviving skew, so set whatever the cluster's defaults are.
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,13 +50,25 @@ def in_parallel(spark: SparkSession, *steps: Callable[[], object]) -> list:
         return [step.result() for step in running]
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder under the shared checkpoint folder, readable by every executor."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+def _scratch_root(spark: SparkSession) -> str:
+    """This application's folder under the shared checkpoint folder."""
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        shared = tempfile.mkdtemp(prefix="orderloom-")
-        spark.sparkContext.setCheckpointDir(shared)
-    return f"{shared.rstrip('/')}/orderloom-{uuid.uuid4().hex}"
+        # Nothing names a shared folder: a local run, as in tests.
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="orderloom-"))
+        shared = context.getCheckpointDir()
+    return f"{shared.rstrip('/')}/orderloom-{context.applicationId}"
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A fresh folder that every executor can read, kept until ``release_scratch``."""
+    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch; frames that read from it cannot run any more."""
+    files.remove(spark, _scratch_root(spark))
 
 
 def settle(df: DataFrame, path: str | None = None) -> DataFrame:

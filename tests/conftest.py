@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from orderloom.session import spark_session  # noqa: E402
+from orderloom.session import release_scratch, spark_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,4 +24,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
+    release_scratch(session)
     session.stop()
