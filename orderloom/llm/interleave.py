@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import bits_for, quoted, whole
 from orderloom.session import settle
 
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 1_000
+#: Beyond this many buckets each takes more rows: one task sums over all of them.
+MOST_BUCKET_BITS = 20
 
 
 def _stratum(column: Column) -> Column:
@@ -60,7 +62,7 @@ def interleave(
         )
     )
     total = base.count()
-    bits = bits_for(total, per_bucket)
+    bits = min(bits_for(total, per_bucket), MOST_BUCKET_BITS)
     top = F.shiftrightunsigned("_u", 64 - bits) if bits else F.lit(0).cast("long")
     base = base.withColumn("_bucket", top)
 
