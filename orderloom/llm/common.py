@@ -15,8 +15,13 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Of what workers get at a time, so that long texts do not add up.
+BATCH_BYTES = 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    configure(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def whole(text: str | Column) -> Column:

@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, interleave
+from orderloom.llm import chat, exact_dedup, interleave, pieces
 from orderloom.llm.common import table, whole
 
 SHARDS = 8
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+#: Says what the templates mark turns with; it must come back as it was.
+PROBE = r"\### Assistant: </turn> ok"
+
+
+def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    outputs = ["n_tokens", "ids_sha256", "decoded_sha256", "n_bytes", "covered_bytes", "spans_crc32"]
+    return pieces.encode(docs, PIECES, outputs)
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = [(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)]
+    turns = turns.unionByName(spark.createDataFrame(probe, turns.schema))
+    return chat.read_back(chat.format_conversations(turns))
 
 
 def op7_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +56,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pieces": op1_pieces,
+    "op5_chat": op5_chat,
     "op7_interleave": op7_interleave,
     "op9_exact_dedup": op9_exact_dedup,
 }
