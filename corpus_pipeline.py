@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import exact_dedup
+from orderloom.llm import exact_dedup, fertility
 from orderloom.llm.common import table
 from orderloom.session import settle
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return fertility.keep_good(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
-STAGES = [("exact dedup", drop_exact_copies)]
+STAGES = [("quality rules", drop_low_quality), ("exact dedup", drop_exact_copies)]
 
 ORACLE_SQL = None
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, exact_dedup, interleave, pieces
+from orderloom.llm import chat, exact_dedup, fertility, interleave, pieces
 from orderloom.llm.common import table, whole
 
 SHARDS = 8
@@ -21,6 +21,10 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(docs, PIECES, outputs)
 
 
+def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.assess(table(spark, sf_dir, "documents"), PIECES, carry=["doc_id"])
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = [(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)]
@@ -57,6 +61,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pieces": op1_pieces,
+    "op4_fertility": op4_fertility,
     "op5_chat": op5_chat,
     "op7_interleave": op7_interleave,
     "op9_exact_dedup": op9_exact_dedup,
