@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import exact_dedup, fertility
+from orderloom.llm import exact_dedup, fertility, packing
 from orderloom.llm.common import table
 from orderloom.session import settle
 
@@ -18,7 +18,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_copies(docs)
 
 
-STAGES = [("quality rules", drop_low_quality), ("exact dedup", drop_exact_copies)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+STAGES = [("quality rules", drop_low_quality), ("exact dedup", drop_exact_copies), ("best-fit packing", pack_sequences)]
 
 ORACLE_SQL = None
 

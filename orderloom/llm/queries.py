@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, exact_dedup, fertility, interleave, pieces
+from orderloom.llm import chat, exact_dedup, fertility, interleave, packing, pieces
 from orderloom.llm.common import table, whole
 
 SHARDS = 8
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 #: Says what the templates mark turns with; it must come back as it was.
 PROBE = r"\### Assistant: </turn> ok"
 
@@ -21,6 +22,10 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(docs, PIECES, outputs)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), BYTES))
+
+
 def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.assess(table(spark, sf_dir, "documents"), PIECES, carry=["doc_id"])
 
@@ -61,6 +66,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pieces": op1_pieces,
+    "op3_packing": op3_packing,
     "op4_fertility": op4_fertility,
     "op5_chat": op5_chat,
     "op7_interleave": op7_interleave,
