@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, exact_dedup, fertility, interleave, packing, pieces
-from orderloom.llm.common import table, whole
+from orderloom.llm import chat, exact_dedup, fertility, interleave, packing, pieces, toxic_spans
+from orderloom.llm.common import fold_of, table, whole
 
 SHARDS = 8
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -64,6 +64,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxic_spans.score(docs, toxic_spans.fit(docs, labels), carry=["doc_id"])
+    held_out = (fold_of(F.col("doc_id")) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted", "largest_marginal", "n_spans", "spans")
+
+
 QUERIES = {
     "op1_pieces": op1_pieces,
     "op3_packing": op3_packing,
@@ -71,6 +78,7 @@ QUERIES = {
     "op5_chat": op5_chat,
     "op7_interleave": op7_interleave,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_toxic_spans": op10_toxic_spans,
 }
 
 ORACLE_SQL = {
