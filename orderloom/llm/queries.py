@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, exact_dedup, fertility, interleave, packing, pieces, toxic_spans
+from orderloom.llm import chat, chosen_path, exact_dedup, fertility, interleave, packing, pieces, toxic_spans
 from orderloom.llm.common import fold_of, table, whole
 
 SHARDS = 8
@@ -57,6 +57,10 @@ def op7_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.join(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = exact_dedup.text_digest(F.col("text")).alias("text_sha256")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", digest)
@@ -77,6 +81,7 @@ QUERIES = {
     "op4_fertility": op4_fertility,
     "op5_chat": op5_chat,
     "op7_interleave": op7_interleave,
+    "op8_chosen_path": op8_chosen_path,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxic_spans": op10_toxic_spans,
 }
