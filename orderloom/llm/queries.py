@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, chosen_path, exact_dedup, fertility, interleave, packing, pieces, toxic_spans
+from orderloom.llm import chat, chosen_path, exact_dedup, fertility, interleave, packing, pieces, repeats, toxic_spans
 from orderloom.llm.common import fold_of, table, whole
 
 SHARDS = 8
@@ -22,6 +22,10 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(docs, PIECES, outputs)
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), BYTES))
 
@@ -77,6 +81,7 @@ def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pieces": op1_pieces,
+    "op2_repeats": op2_repeats,
     "op3_packing": op3_packing,
     "op4_fertility": op4_fertility,
     "op5_chat": op5_chat,
