@@ -1,29 +1,58 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+    quality rules         documents that the fertility rules reject go
+    exact dedup           of equal texts the one of the largest id stays
+    n-gram Jaccard join   of every class of near copies one stays
+    suffix-array dedup    repeated byte strings go, in whatever documents they are
+    best-fit packing      token pieces are packed into sequences
+
+Each stage works on all that the one before kept, written and read again.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, fertility, packing
+from orderloom.llm import chosen_path, exact_dedup, fertility, packing, repeats
 from orderloom.llm.common import table
 from orderloom.session import settle
 
+PIECES = "piece_bpe_32k.model"
+BYTES = "byte_bpe_50k.json"
+
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return fertility.keep_good(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return fertility.keep_good(docs, public_tokenizers.path(PIECES))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return chosen_path.keep_one(docs)
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    left = repeats.remove_repeats(docs, replace_text=True)
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    return packing.pack(packing.token_pieces(docs, public_tokenizers.path(BYTES)))
 
 
-STAGES = [("quality rules", drop_low_quality), ("exact dedup", drop_exact_copies), ("best-fit packing", pack_sequences)]
+STAGES = [
+    ("quality rules", drop_low_quality),
+    ("exact dedup", drop_exact_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("suffix-array dedup", remove_repeats),
+    ("best-fit packing", pack_sequences),
+]
 
+#: Tokens, sketches and byte strings are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
