@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, chosen_path, exact_dedup, fertility, interleave, packing, pieces, repeats, toxic_spans
+from orderloom.llm import chat, chosen_path, exact_dedup, fertility, interleave, kneser_ney, packing, pieces, repeats, toxic_spans
 from orderloom.llm.common import fold_of, table, whole
 
 SHARDS = 8
@@ -41,6 +41,10 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns))
 
 
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score(table(spark, sf_dir, "documents"), train=fold_of(F.col("doc_id")) != 1)
+
+
 def op7_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     slim = docs.select(
@@ -85,6 +89,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_fertility": op4_fertility,
     "op5_chat": op5_chat,
+    "op6_kneser_ney": op6_kneser_ney,
     "op7_interleave": op7_interleave,
     "op8_chosen_path": op8_chosen_path,
     "op9_exact_dedup": op9_exact_dedup,
