@@ -318,14 +318,36 @@ def _with_shingles(rows: DataFrame) -> DataFrame:
 # The join
 
 
-def _buckets(sets: DataFrame, runs: int, levels: int, small: int) -> DataFrame:
-    """(bucket, size, set_id): every bucket of two or more that is small or at the last level.
+def _near_pivots(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) of the members of large buckets to their bucket's first, by sketches, a row at a time."""
 
-    Buckets of the same members are one bucket.
+    def run(batches):
+        for batch in batches:
+            sketches = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, BINS) for i in (2, 3)]
+            filled = ((sketches[0] | sketches[1]) > 0).sum(1)
+            same = ((sketches[0] == sketches[1]) & (sketches[0] > 0)).sum(1)
+            near = pa.array(same >= (THRESHOLD - SKETCH_MARGIN) * filled)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["a", "b"])
+
+    firsts = large.groupBy("run", "bucket").agg(F.min("set_id").alias("b"))
+    pairs = large.join(firsts, ["run", "bucket"]).where("set_id <> b").select(F.col("set_id").alias("a"), "b").distinct()
+    mine = sets.select(F.col("set_id").alias("a"), F.col("sketch").alias("sketch_a"))
+    first = sets.select(F.col("set_id").alias("b"), F.col("sketch").alias("sketch_b"))
+    both = pairs.join(mine, "a").join(first, "b").select("a", "b", "sketch_a", "sketch_b")
+    return settle(both.mapInArrow(run, "a binary, b binary"))
+
+
+def _buckets(sets: DataFrame, runs: int, levels: int, small: int) -> tuple[DataFrame, DataFrame | None]:
+    """(buckets, links): (bucket, size, set_id) of what is left to compare, and links found on the way.
+
+    A bucket is ready when it is small or at the last level. Members of a large one are first
+    held against its first member; buckets whose members are then all connected have nothing
+    left to find, and neither has a second bucket of the same members.
     """
     first = f"flatten(transform(sequence(0, {runs - 1}), r -> transform(choices[r * {levels}], t -> named_struct('run', r, 'bucket', xxhash64(r, t)))))"
     paths = sets.select("set_id", F.explode(F.expr(first)).alias("p")).select("set_id", "p.run", "p.bucket")
     done: DataFrame | None = None
+    links: DataFrame | None = None
     for level in range(levels):
         paths = settle(paths)
         held = paths.groupBy("run", "bucket").agg(
@@ -333,16 +355,25 @@ def _buckets(sets: DataFrame, runs: int, levels: int, small: int) -> DataFrame:
         )
         once = held.where("size > 1").groupBy("size", "members").agg(F.min(F.struct("run", "bucket")).alias("b"))
         once = settle(once.select("size", "b.run", "b.bucket"))
-        found = settle(paths.join(once, ["run", "bucket"]).select("run", "bucket", "size", "set_id"))
+        found = settle(paths.join(once.hint("merge"), ["run", "bucket"]).select("run", "bucket", "size", "set_id"))
         last = level == levels - 1
+        large = found.where(f"size > {small}")
+        if not large.isEmpty():
+            near = _near_pivots(large, sets)
+            links = near if links is None else links.unionByName(near)
+            labels = components(links).withColumnRenamed("id", "set_id")
+            label = F.coalesce("label", "set_id")
+            mixed = found.join(labels, "set_id", "left").groupBy("run", "bucket").agg(F.min(label).alias("a"), F.max(label).alias("b"))
+            mixed = settle(mixed.where("a <> b").select("run", "bucket"))
+            found = settle(found.join(mixed, ["run", "bucket"], "left_semi"))
+            large = found.where(f"size > {small}")
         ready = found.select("bucket", "size", "set_id").where("true" if last else f"size <= {small}")
         done = ready if done is None else done.unionByName(ready)
-        large = found.where(f"size > {small}")
         if last or large.isEmpty():
             break
         deeper = f"transform(choices[run * {levels} + {level + 1}], t -> xxhash64(bucket, t))"
         paths = large.join(sets.select("set_id", "choices"), "set_id").select("set_id", "run", F.explode(F.expr(deeper)).alias("bucket"))
-    return done
+    return done, links
 
 
 def classes(docs: DataFrame, recall: float = RECALL, small: int = SMALL_BUCKET, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -361,16 +392,17 @@ def classes(docs: DataFrame, recall: float = RECALL, small: int = SMALL_BUCKET,
     )
     sets = settle(sets)
 
-    buckets = _buckets(sets, runs, LEVELS, small)
+    buckets, found = _buckets(sets, runs, LEVELS, small)
     members = buckets.join(sets.select("set_id", "n", "sketch"), "set_id")
     members = _blocks(members, "bucket", F.col("size"), "set_id", 4 * block)
     members = _sorted_by(members.select("bucket", "lo", "hi", "own", "set_id", "n", "sketch"), ["bucket", "lo", "hi"])
-    links = settle(members.mapInArrow(_candidates(THRESHOLD, SKETCH_MARGIN), "a binary, b binary").distinct())
-    near = components(links).withColumnRenamed("label", "group")
+    links = members.mapInArrow(_candidates(THRESHOLD, SKETCH_MARGIN), "a binary, b binary")
+    near = components(links if found is None else links.unionByName(found)).withColumnRenamed("label", "group")
 
     sizes = near.groupBy("group").agg(F.count(F.lit(1)).alias("group_size"))
     wanted = near.withColumnRenamed("id", "set_id").join(sizes, "group").join(sets.select("set_id", "key", "documents"), "set_id")
-    texts = keyed.select("key", "text").join(settle(wanted), "key").dropDuplicates(["key"])
+    # Their number follows the corpus: joined by shuffle at every size.
+    texts = keyed.select("key", "text").join(settle(wanted).hint("merge"), "key").dropDuplicates(["key"])
     compared = settle(_with_shingles(texts))
     compared = _blocks(compared, "group", F.col("group_size"), "set_id", block)
     compared = _sorted_by(
