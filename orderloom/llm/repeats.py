@@ -266,7 +266,9 @@ def extend_left(before: np.ndarray, lefts: np.ndarray, rights: np.ndarray, order
             together = interval[1:] == interval[:-1]
         if not len(rank):
             break
-        shared = np.where(together, least(rank[:-1] + 1, rank[1:]), -1)
+        pair = np.flatnonzero(together)
+        shared = np.full(len(together), -1, np.int64)
+        shared[pair] = least(rank[pair] + 1, rank[pair + 1])
         best = np.maximum(np.concatenate([[-1], shared]), np.concatenate([shared, [-1]]))
         own = order[rank]
         best = np.minimum(best, rights[own])
@@ -377,7 +379,8 @@ def repeated_spans(keyed: DataFrame, shape: Shape = Shape(), most_together: int
     anchors = _anchor_rows(keyed, shape)
     anchors = settle(anchors)
     again = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    anchors = settle(anchors.join(settle(again), "gram", "left_semi"))
+    # Both follow the corpus: joined by shuffle at every size.
+    anchors = settle(anchors.join(settle(again).hint("merge"), "gram", "left_semi"))
 
     place = F.struct("k1", "k2", "position")
     kinds = settle(anchors.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("p")))
