@@ -2,8 +2,9 @@
 
 Rows of a source are shuffled by a seeded hash and ranked; a row's fractional rank is its
 rank over the size of its source, shifted by a phase of the source; all rows sorted by
-fractional rank are cut into equal runs. Any run then holds of every source its share, to
-within one row, so every shard matches the mixture. Shard sizes differ by one row at most.
+fractional rank are cut into equal runs. Any stretch of fractions holds of every source its
+share, to within one row, so every shard matches the mixture but for the few rows by which
+rows of very small sources fall unevenly. Shard sizes differ by one row at most.
 
 Nothing ranks a source in one task: a rank is the number of rows in earlier hash buckets
 (counted, then summed over buckets) plus the place inside the bucket. The hash spreads a

@@ -324,15 +324,19 @@ class PieceModel:
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: bytes that are no UTF-8 become U+FFFD each."""
         ids = np.asarray(ids, np.int64)
-        ids = ids[(ids != self.begin) & (ids != self.end)]
+        shown = np.flatnonzero((ids != self.begin) & (ids != self.end))
+        ids = ids[shown[0] : shown[-1] + 1] if len(shown) else ids[:0]
         parts = list(map(self.surface.__getitem__, ids.tolist()))
         strips = self.norm.add_dummy_prefix or self.norm.remove_extra_whitespaces
         if parts and strips and not self.is_byte[ids[0]] and parts[0].startswith(b" "):
             parts[0] = parts[0][1:]
-        try:
-            return b"".join(parts).decode()
-        except UnicodeDecodeError:
-            return "".join(_lenient(parts, self.is_byte[ids]))
+        if len(shown) == len(ids):
+            try:
+                return b"".join(parts).decode()
+            except UnicodeDecodeError:
+                pass
+        # Also where a marker stands between bytes, which then make no character together.
+        return "".join(_lenient(parts, self.is_byte[ids]))
 
 
 def _char_bytes(first: int) -> int:

@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import defaultdict
+
+import pytest
+
+from orderloom.llm import chosen_path
+from orderloom.llm.components import components
+
+WORD = re.compile(r"[^\x20\t-\r]+")
+
+
+def shingles(text):
+    words = WORD.findall(text or "")
+    size = min(5, len(words))
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if size else set()
+
+
+def expected(rows):
+    """Links and classes by comparing everything with everything."""
+    sets = [shingles(t) for _, t in rows]
+    above = list(range(len(rows)))
+
+    def root(i):
+        while above[i] != i:
+            i = above[i]
+        return i
+
+    links = defaultdict(int)
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 10 * len(a & b) >= 8 * len(a | b):
+                links[i] += 1
+                links[j] += 1
+                above[max(root(i), root(j))] = min(root(i), root(j))
+    members = defaultdict(list)
+    for i, (doc_id, _) in enumerate(rows):
+        members[root(i)].append(doc_id)
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        named = [d for d in members[root(i)] if d is not None]
+        out.append((doc_id, min(named, default=None), len(members[root(i)]), links[i]))
+    return sorted(out, key=str)
+
+
+def corpus(seed, groups=12, copies=9):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    passage = [rng.choice(words) for _ in range(40)]
+    rows = []
+    for _ in range(groups):
+        base = [rng.choice(words) for _ in range(rng.randrange(30, 200))]
+        for _ in range(rng.randrange(1, copies)):
+            text = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 4])):
+                text[rng.randrange(len(text))] = rng.choice(words)
+            if rng.random() < 0.3:
+                text += passage[: rng.randrange(40)]
+            rows.append((len(rows), " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("small, block", [(128, 256), (2, 3)])
+def test_against_brute_force(documents, odd_rows, small, block):
+    rows = corpus(small) + [(1000 + (r[0] or 0) if r[0] is not None else None, r[1]) for r in odd_rows]
+    rows += [(2000 + i, "a b c d") for i in range(3)]
+    found = chosen_path.join(documents(rows), small=small, block=block).collect()
+    assert sorted((tuple(r) for r in found), key=str) == sorted(
+        ((d, c, s, n) for d, c, s, n in expected(rows)), key=str
+    )
+
+
+def test_runs_follow_the_recall():
+    assert chosen_path.runs_for(0.9) < chosen_path.runs_for(0.9999) < chosen_path.runs_for(0.99999999)
+
+
+def test_one_of_each_class_stays(documents, odd_rows):
+    rows = corpus(3) + [(1000 + i, t) for i, t in enumerate(["", None, "  ", "x y", "x y"])]
+    docs = documents(rows)
+    kept = chosen_path.keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = sorted(r.doc_id for r in kept.collect())
+    classes = {c for d, c, _, _ in expected(rows) if d < 1000} | {1000, 1001, 1002, 1003}
+    assert ids == sorted(classes)
+    assert chosen_path.keep_one(documents([*odd_rows])).count() == 3 + 1 + 1 + 2 + 1 + 1
+
+
+def test_empty_table(documents):
+    assert chosen_path.join(documents([])).count() == 0
+    assert chosen_path.keep_one(documents([])).count() == 0
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(0, 50)]
+    star = [(200, i) for i in range(201, 260)]
+    links = spark.createDataFrame([*chain, *star, (300, 300)], "a long, b long")
+    found = {r.id: r.label for r in components(links).collect()}
+    assert found == {**{i: 0 for i in range(51)}, **{i: 200 for i in range(200, 260)}}

@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+from orderloom.llm import exact_dedup
+
+
+def normal(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def expected(rows):
+    groups = {}
+    for doc_id, text in rows:
+        groups.setdefault(normal(text), []).append(doc_id)
+    found = Counter()
+    for text, ids in groups.items():
+        named = [i for i in ids if i is not None]
+        keep = max(named) if named else None
+        stays = ids.count(keep)
+        for doc_id in ids:
+            kept = doc_id == keep and stays > 0
+            if kept:
+                stays -= ids.count(keep)  # one of them
+            found[doc_id, keep, len(ids), kept, hashlib.sha256(text.encode()).hexdigest()] += 1
+    return found
+
+
+def test_against_brute_force(documents, odd_rows):
+    rows = [r[:2] for r in odd_rows]
+    rows += [(100 + i, f"{'x' * 300}{i % 4}") for i in range(9)]  # one length and prefix, other ends
+    docs = documents(rows)
+    marked = exact_dedup.exact_dedup(docs.withColumn("sha", exact_dedup.text_digest(docs.text)))
+    found = Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.sha) for r in marked.collect())
+    assert found == expected(rows)
+    assert marked.columns.count("kept") == 1
+
+
+def test_only_ascii_letters_are_folded(documents):
+    marked = exact_dedup.exact_dedup(documents([(1, "Äa"), (2, "äA"), (3, "ÄA")])).collect()
+    assert {r.doc_id: r.keep_id for r in marked} == {1: 3, 2: 2, 3: 3}
+
+
+def test_drop_copies_keeps_columns_and_one_of_each(documents, odd_rows):
+    docs = documents(odd_rows)
+    left = exact_dedup.drop_copies(docs)
+    texts = [normal(r.text) for r in left.collect()]
+    assert sorted(texts) == sorted({normal(r[1]) for r in odd_rows})
+    assert set(left.columns) <= set(docs.columns)
+
+
+def test_empty_table(documents):
+    assert exact_dedup.exact_dedup(documents([])).count() == 0
+
+
+def test_no_python_on_the_path(documents):
+    marked = exact_dedup.exact_dedup(documents([(1, "a"), (2, "a")]))
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))

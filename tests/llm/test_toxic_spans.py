@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import itertools
+import random
+import zlib
+
+import numpy as np
+
+from orderloom.llm import toxic_spans
+
+CLEAN = [f"plain{i}" for i in range(200)]
+BAD = [f"awful{i}" for i in range(40)]
+
+
+def corpus(n=400):
+    rng = random.Random(1)
+    rows, labels = [], []
+    for i in range(n):
+        words = [rng.choice(CLEAN) for _ in range(rng.randrange(5, 80))]
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(rng.randrange(1, 4)):
+                words.insert(rng.randrange(len(words)), rng.choice(BAD).upper() + ",")
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    return rows, labels
+
+
+def fitted(spark, documents):
+    rows, labels = corpus()
+    labels = spark.createDataFrame([*labels, (5, 1, None), (None, 1, 1), (99_999, 0, 1)], "doc_id long, quality int, toxic int")
+    return rows, toxic_spans.fit(documents(rows), labels)
+
+
+def test_held_out_documents_and_spans(spark, documents):
+    rows, model = fitted(spark, documents)
+    found = toxic_spans.score(documents([*rows, (1000, "plain1 awfulunseen! plain2")]), model).collect()
+    wrong = [r for r in found if r.doc_id < 1000 and zlib.crc32(str(r.doc_id).encode()) % 5 == 0 and r.predicted != (r.doc_id % 4 == 0)]
+    assert not wrong
+    text = dict(rows)
+    for r in found:
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) and r.n_spans == len(r.spans)
+        if r.doc_id in text and r.predicted:
+            assert all("AWFUL" in text[r.doc_id][s.begin : s.end] for s in r.spans) and r.spans
+    (new,) = [r for r in found if r.doc_id == 1000]
+    assert new.predicted == 1 and [(s.begin, s.end) for s in new.spans] == [(7, 19)]
+
+
+def test_odd_rows(spark, documents, odd_rows):
+    _, model = fitted(spark, documents)
+    found = toxic_spans.score(documents(odd_rows), model).collect()
+    assert len(found) == len(odd_rows) and {r.predicted for r in found} == {0}
+    assert toxic_spans.score(documents([]), model).count() == 0
+
+
+def test_without_labels_nothing_is_toxic(spark, documents, odd_rows):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    model = toxic_spans.fit(documents(odd_rows), labels)
+    assert {r.predicted for r in toxic_spans.score(documents(odd_rows), model).collect()} == {0}
+
+
+def test_marginals_against_all_labellings():
+    rng = np.random.default_rng(3)
+    sizes = np.array([4, 0, 1, 6])
+    emissions = rng.normal(size=int(sizes.sum())) * 2
+    transitions = rng.normal(size=(2, 2))
+    got, at = toxic_spans.marginals(emissions, sizes, transitions), 0
+    for size in sizes:
+        weight, toxic = 0.0, np.zeros(size)
+        for states in itertools.product((0, 1), repeat=int(size)):
+            s = sum(e * y for e, y in zip(emissions[at : at + size], states, strict=True))
+            s += sum(transitions[a, b] for a, b in itertools.pairwise(states))
+            weight += np.exp(s)
+            toxic += np.exp(s) * np.array(states)
+        np.testing.assert_allclose(got[at : at + size], toxic / weight)
+        at += size
