@@ -173,7 +173,7 @@ class PieceModel:
         while squeeze and out and out[-1] == SPACE and len(out) > 1:
             out.pop()
             end = starts.pop()
-        if out == [SPACE] and self.norm.add_dummy_prefix:
+        if not out:
             return "", None
         return "".join(out), np.array([*starts, end], np.int64)
 
