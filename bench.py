@@ -35,6 +35,7 @@ HEADLINE = [
     "dq_order_sum_mismatch",
     "contract_checks",
     "run_audit_latest",
+    "batch_daily_sales",
 ]
 
 

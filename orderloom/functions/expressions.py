@@ -50,8 +50,13 @@ def money_or_zero(column: str) -> Column:
 
 
 def positive_number(column: str) -> Column:
-    """True for text above zero before any rounding to the stored scale."""
-    return F.col(column).cast("decimal(38,18)") > F.lit(0)
+    """True for text above zero, however little; text that is no number raises.
+
+    The cast settles what a number is but rounds to its scale, so the digits decide: no
+    minus, and one of them before any exponent is not zero.
+    """
+    not_below = F.col(column).cast("decimal(38,18)") >= F.lit(0)
+    return not_below & F.col(column).rlike(r"^\s*\+?[0-9.]*[1-9]")
 
 
 def timestamp_literal(moment: datetime) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -50,17 +51,30 @@ def in_parallel(spark: SparkSession, *steps: Callable[[], object]) -> list:
         return [step.result() for step in running]
 
 
+_FALLBACK = threading.Lock()
+
+
 def _scratch_root(spark: SparkSession) -> str:
-    """This application's folder under the shared checkpoint folder."""
+    """This application's folder under the shared checkpoint folder.
+
+    Only where driver and executors are one process may it be a temporary folder.
+    """
     context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not shared:
-        # Nothing names a shared folder: a local run, as in tests.
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="orderloom-"))
-        shared = context.getCheckpointDir()
+    with _FALLBACK:
+        shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if not shared:
+            if not is_one_process(context.master):
+                raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="orderloom-"))
+            shared = context.getCheckpointDir()
     return f"{shared.rstrip('/')}/orderloom-{context.applicationId}"
 
 
+def is_one_process(master: str) -> bool:
+    """Whether executors run inside the driver, as with ``local`` and ``local[8]``."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder that every executor can read, kept until ``release_scratch``."""
     return f"{_scratch_root(spark)}/{uuid.uuid4().hex}"

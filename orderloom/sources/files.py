@@ -23,6 +23,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, target = _open(spark, path)
+    fs.create(target, True).close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)

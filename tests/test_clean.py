@@ -85,7 +85,8 @@ def test_equal_times_are_settled_the_same_way_in_any_order(spark):
 
 @pytest.mark.parametrize(
     ("qty", "kept"),
-    [("0", None), ("-1", None), (None, None), ("0.0004", "0.000"), ("2.0005", "2.001"), (" 3 ", "3.000")],
+    [("0", None), ("-1", None), (None, None), ("0.0004", "0.000"), ("2.0005", "2.001"), (" 3 ", "3.000"),
+     ("0.0000000000000000001", "0.000"), ("-0.0000000000000000001", None), ("1e-25", "0.000"), ("0e7", None), ("+.5", "0.500")],
 )
 def test_quantity(spark, qty, kept):
     rows = clean.clean_order_items(landed(spark, "order_items", item(qty=qty))).collect()

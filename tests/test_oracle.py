@@ -34,10 +34,10 @@ def normal(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.QUERIES) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_query_equals_sql(spark, database, name):
     df = driver.queries()[name](spark, FOLDER)
     cursor = database.execute(driver.oracle_sql()[name])
