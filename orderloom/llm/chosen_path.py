@@ -4,7 +4,8 @@ A document is the set of its word 5-grams; documents of one set are one class fr
 and only one of each class is joined. In every run a set chooses a few of its own shingles by a random function all
 sets share, so that sets that share most shingles are likely to choose a common one: the
 chosen shingles are buckets. A bucket that is still large splits again on shingles chosen at
-the next level, down to ``LEVELS``. Small buckets are compared by brute force on sketches.
+the next level, down to ``LEVELS``. Small buckets are compared by brute force on sketches:
+some thousand members take a core seconds, splitting them takes several jobs.
 
 With ``CHANCES`` expected common choices a level, a pair at the threshold meets in a run with
 probability (1 - exp(-CHANCES)) ** LEVELS at least; runs repeat until the wanted recall of
@@ -37,9 +38,9 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 LEVELS = 3
 CHANCES = 3.0
-SMALL_BUCKET = 128
-#: Rows of a block in pairwise comparison.
-BLOCK = 256
+SMALL_BUCKET = 16_384
+#: Rows of a block in pairwise comparison of whole sets, and of sketches.
+BLOCK, SKETCH_BLOCK = 256, 4_096
 BINS = 128
 #: Sketches differ from the truth by 0.036 (standard deviation) at the threshold.
 SKETCH_MARGIN = 0.16
@@ -225,20 +226,23 @@ def _candidates(threshold: float, margin: float):
             ids, sizes = table["set_id"].to_pylist(), table["n"].to_numpy()
             own, across = table["own"].to_numpy(), table["lo"][0].as_py() != table["hi"][0].as_py()
             sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(len(ids), BINS)
+            order = np.argsort(sizes, kind="stable")
+            sizes, own, sketch = sizes[order], own[order], sketch[order]
+            # By size, the partners of a set are the next ones up to the size it can be similar to.
+            until = np.searchsorted(sizes, sizes / threshold + 1e-9, side="right")
             forest = _Forest(len(ids))
             for i in range(len(ids) - 1):
-                rest = slice(i + 1, len(ids))
-                near = (sizes[rest] >= threshold * sizes[i]) & (sizes[rest] * threshold <= sizes[i])
-                if across:
-                    near &= own[rest] != own[i]
-                at = np.flatnonzero(near) + i + 1
-                if not len(at):
+                later = sketch[i + 1 : until[i]]
+                if not len(later):
                     continue
-                filled = ((sketch[at] | sketch[i]) > 0).sum(1)
-                same = ((sketch[at] == sketch[i]) & (sketch[at] > 0)).sum(1)
-                for j in at[same >= (threshold - margin) * filled].tolist():
+                filled = ((later | sketch[i]) > 0).sum(1)
+                same = ((later == sketch[i]) & (later > 0)).sum(1)
+                near = same >= (threshold - margin) * filled
+                if across:
+                    near &= own[i + 1 : until[i]] != own[i]
+                for j in (np.flatnonzero(near) + i + 1).tolist():
                     if forest.link(i, j):
-                        links.append((ids[i], ids[j]))
+                        links.append((ids[order[i]], ids[order[j]]))
             if len(links) > 20_000:
                 yield _link_batch(links)
                 links = []
@@ -278,6 +282,8 @@ def _exact(threshold_tenths: int):
             own = table["own"].to_numpy()
             rows = np.flatnonzero(own == lo)
             columns = rows if lo == hi else np.flatnonzero(own == hi)
+            if not len(rows) or not len(columns):
+                continue
             shared = _shared_counts([sets[i] for i in rows], [sets[j] for j in columns])
             union = sizes[rows][:, None] + sizes[columns][None] - shared
             linked = (10 * shared >= threshold_tenths * union) & (rows[:, None] != columns[None])
@@ -394,7 +400,7 @@ def classes(docs: DataFrame, recall: float = RECALL, small: int = SMALL_BUCKET,
 
     buckets, found = _buckets(sets, runs, LEVELS, small)
     members = buckets.join(sets.select("set_id", "n", "sketch"), "set_id")
-    members = _blocks(members, "bucket", F.col("size"), "set_id", 4 * block)
+    members = _blocks(members, "bucket", F.col("size"), "set_id", min(SKETCH_BLOCK, 16 * block))
     members = _sorted_by(members.select("bucket", "lo", "hi", "own", "set_id", "n", "sketch"), ["bucket", "lo", "hi"])
     links = members.mapInArrow(_candidates(THRESHOLD, SKETCH_MARGIN), "a binary, b binary")
     near = components(links if found is None else links.unionByName(found)).withColumnRenamed("label", "group")

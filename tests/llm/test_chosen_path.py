@@ -63,7 +63,7 @@ def corpus(seed, groups=12, copies=9):
     return rows
 
 
-@pytest.mark.parametrize("small, block", [(128, 256), (2, 3)])
+@pytest.mark.parametrize("small, block", [(16_384, 256), (16_384, 1), (2, 3)])
 def test_against_brute_force(documents, odd_rows, small, block):
     rows = corpus(small) + [(1000 + (r[0] or 0) if r[0] is not None else None, r[1]) for r in odd_rows]
     rows += [(2000 + i, "a b c d") for i in range(3)]
