@@ -34,11 +34,14 @@ from orderloom.llm.common import UPPER, WORD, quoted, whole
 WORDS = re.compile(WORD)
 LOWER = str.maketrans(UPPER, UPPER.lower())
 ORDER = 2
-#: Bytes of text whose n-grams one share holds.
+#: Bytes of text whose n-grams one share holds, and that are dealt at a time.
 SHARE_BYTES = 16 << 20
+DEALT_BYTES = 8 << 20
 CACHE_WORDS = 400_000
 #: No word hashes to these: what stands before a text, and what ends it.
 START, END = 1, 2
+#: Words and histories are known by 48 bits.
+KEY_BITS = np.uint64((1 << 48) - 1)
 SUMS = 4  # count, and kinds seen once, twice, more often
 
 
@@ -57,6 +60,16 @@ def unpack(blob: bytes) -> tuple:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
 
 
+def pack_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys as small steps and lower halves, which compress better than the keys."""
+    upper = (keys >> np.uint64(32)).astype(np.uint16)
+    return np.diff(upper, prepend=np.uint16(0)), keys.astype(np.uint32)
+
+
+def unpack_keys(steps: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.uint64) << np.uint64(32) | lower
+
+
 def smallest(values: np.ndarray, most: int) -> np.ndarray:
     return values.astype(np.uint16 if most <= 1 << 16 else np.uint32)
 
@@ -130,22 +143,33 @@ class Vocabulary:
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
         for word in words.difference(self.cache):
-            value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+            value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) & int(KEY_BITS)
             self.cache[word] = value if value > END else value + 7
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``DEALT_BYTES`` of text at a time."""
+    for batch in batches:
+        sizes = np.cumsum([len(t) for t in batch.column(1).to_pylist()])
+        bounds = np.searchsorted(sizes // DEALT_BYTES, np.arange(sizes[-1] // DEALT_BYTES + 2)) if len(sizes) else []
+        for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
+            if stop > start:
+                yield batch.slice(start, stop - start)
+
+
 def _deal(order: int, shares: int):
     """Packed n-grams of every share from each batch of texts, and a row that describes the texts."""
 
     def run(batches):
         vocabulary, number, task = Vocabulary(), 0, TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in _slices(batches):
             uid = (task << 24) + number
             number += 1
             texts, train = batch.column(1).to_pylist(), np.array(batch.column(2).to_pylist(), bool)
             lists = [WORDS.findall(t.translate(LOWER)) for t in texts]
             vocabulary.learn(set().union(*lists))
             find = vocabulary.cache.__getitem__
+            del texts
             sizes = np.fromiter((len(x) + 1 for x in lists), np.int64, len(lists))
             total = int(sizes.sum())
             flat = np.full(total, END, np.uint64)
@@ -153,7 +177,9 @@ def _deal(order: int, shares: int):
             ends = np.cumsum(sizes) - 1
             inside[ends] = False
             flat[inside] = np.fromiter((find(w) for words in lists for w in words), np.uint64, total - len(lists))
-            doc = np.repeat(np.arange(len(lists)), sizes)
+            count = len(lists)
+            del lists
+            doc = np.repeat(np.arange(count, dtype=np.int32), sizes)
             place = np.arange(total) - np.repeat(ends - sizes + 1, sizes)
             names, codes = np.unique(np.append(flat, np.uint64(START)), return_inverse=True)
             start, codes = codes[-1], codes[:-1]
@@ -173,7 +199,7 @@ def _deal(order: int, shares: int):
                 at = sort[bounds[part] : bounds[part + 1]]
                 used = np.unique(np.concatenate([c[at] for c in columns]))
                 own = [smallest(np.searchsorted(used, c[at]), len(used)) for c in columns]
-                body = (len(lists), np.packbits(train), names[used], own, smallest(doc[at], len(lists)))
+                body = (count, np.packbits(train), pack_keys(names[used]), own, smallest(doc[at], count))
                 rows.append((part, uid, 0, pack(body)))
             kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -191,17 +217,18 @@ class Share:
         words, docs, train, self.docs = [], [], [], []
         for body in bodies:
             n, bits, names, columns, doc = unpack(body)
+            names = unpack_keys(*names)
             words.append(np.stack([names[c] for c in columns], 1))
-            docs.append(doc.astype(np.int64))
+            docs.append(doc)
             train.append(np.unpackbits(bits, count=n).astype(bool)[doc])
             self.docs.append(n)
         # One row for each n-gram of whole order; every token points at its row.
         words = np.concatenate(words) if words else np.zeros((0, order), np.uint64)
         train = np.concatenate(train) if train else np.zeros(0, bool)
         self.doc = docs
-        full = gram(words, order)
-        self.keys, first, self.of_token = np.unique(full, return_index=True, return_inverse=True)
-        self.words = words[first]
+        self.keys, first, of_token = np.unique(gram(words, order), return_index=True, return_inverse=True)
+        self.words, self.of_token = words[first], of_token.astype(np.int32)
+        del words, first, of_token
         raw = np.bincount(self.of_token, weights=train, minlength=len(self.keys)).astype(np.int64)
         self.word, self.word_of = np.unique(self.words[:, -1], return_inverse=True)
         self.word_raw = np.bincount(self.word_of, weights=raw, minlength=len(self.word)).astype(np.int64)
@@ -218,7 +245,7 @@ class Share:
                 key, of_row, count, first = lower, back, seen, at
             else:
                 first = np.arange(len(key))
-            histories, history_of = np.unique(history(self.words[first], m - 1), return_inverse=True)
+            histories, history_of = np.unique(history(self.words[first], m - 1) & KEY_BITS, return_inverse=True)
             sums = np.zeros((len(histories), SUMS), np.int64)
             np.add.at(sums[:, 0], history_of, count)
             for k in (1, 2):
@@ -248,7 +275,8 @@ def _partial_sums(order: int, shares: int):
             asked = [(keys, sums, (keys % np.uint64(shares)).astype(np.int64)) for keys, sums in share.asked()]
             rows = []
             for place in range(shares):
-                sections = [(keys[at == place], sums[at == place]) for keys, sums, at in asked]
+                here = [at == place for _, _, at in asked]
+                sections = [(pack_keys(k[h]), s[h].astype(np.uint32)) for (k, s, _), h in zip(asked, here, strict=True)]
                 rows.append((place, part, pack((share.kinds(), sections))))
             places, parts, bodies = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays(
@@ -276,7 +304,8 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[byte
 
 def _totals(table: pa.Table) -> pa.Table:
     """Totals of one place's keys, sent back to every share that asked, in the order it asked."""
-    asked = [unpack(b) for b in table["body"].to_pylist()]
+    packed = [unpack(b) for b in table["body"].to_pylist()]
+    asked = [(kinds, [(unpack_keys(*keys), sums) for keys, sums in sections]) for kinds, sections in packed]
     kinds = sum(a[0] for a in asked)
     answers: list[list[np.ndarray]] = [[] for _ in asked]
     whole_words = np.zeros(6 + SUMS, np.int64)
@@ -292,7 +321,7 @@ def _totals(table: pa.Table) -> pa.Table:
             whole_words[:] = [*kinds_of(continues), raw.sum(), (raw > 0).sum(), continues.sum(), *once, (continues > 2).sum()]
         stops = np.cumsum([0, *(len(a[1][section][0]) for a in asked)])
         for i in range(len(asked)):
-            answers[i].append(total[of[stops[i] : stops[i + 1]]])
+            answers[i].append(total[of[stops[i] : stops[i + 1]]].astype(np.uint64 if total.max(initial=0) >> 32 else np.uint32))
     bodies = [pack((kinds, whole_words, a)) for a in answers]
     return pa.table({"part": table["part"], "place": table["place"], "body": pa.array(bodies, pa.binary())})
 
