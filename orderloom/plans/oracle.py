@@ -214,12 +214,16 @@ _BIG = "SELECT 1 FROM orders WHERE o_totalprice > 400000"
 _CONTRACTS = "\nUNION ALL ".join(
     [
         *_no_nulls("dim_date", "date_id date_day year quarter month day week day_of_week"),
+        _contract("dim_date", "primary_key", "date_id", _NOTHING),
         _contract("dim_date", "unique", "date_day", _NOTHING),
         *_no_nulls("dim_channel", "channel_id channel_name"),
+        _contract("dim_channel", "primary_key", "channel_id", _NOTHING),
         _contract("dim_channel", "unique", "channel_name", _NOTHING),
         *_no_nulls("dim_geography", "geography_id"),
+        _contract("dim_geography", "primary_key", "geography_id", _NOTHING),
         _contract("dim_geography", "unique", "country+city+postal_code", _NOTHING),
         *_no_nulls("dim_customer", "customer_id customer_nk"),
+        _contract("dim_customer", "primary_key", "customer_id", "SELECT c_custkey FROM customer GROUP BY 1 HAVING count(*) > 1"),
         _contract("dim_customer", "unique", "customer_nk",
                   "SELECT c_name FROM customer GROUP BY c_name HAVING count(*) > 1"),
         _contract("dim_customer", "references", "geography_id",
@@ -227,10 +231,12 @@ _CONTRACTS = "\nUNION ALL ".join(
                   "JOIN region ON n_regionkey = r_regionkey "
                   "WHERE r_name = 'ASIA' AND c_mktsegment <> 'BUILDING'"),
         *_no_nulls("dim_product", "product_id part_sku"),
+        _contract("dim_product", "primary_key", "product_id", "SELECT p_partkey FROM part GROUP BY 1 HAVING count(*) > 1"),
         _contract("dim_product", "unique", "part_sku",
                   "SELECT p_partkey FROM part GROUP BY 1 HAVING count(*) > 1"),
         *_no_nulls("fact_orders", "order_id order_nk customer_id date_id",
                    {"customer_id": _URGENT, "date_id": _BIG}),
+        _contract("fact_orders", "primary_key", "order_id", "SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1"),
         _contract("fact_orders", "unique", "order_nk",
                   "SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1"),
         _contract("fact_orders", "references", "customer_id",
@@ -239,6 +245,7 @@ _CONTRACTS = "\nUNION ALL ".join(
         _contract("fact_orders", "references", "date_id", _NOTHING),
         _contract("fact_orders", "references", "channel_id", _NOTHING),
         *_no_nulls("fact_order_items", "fact_order_item_id order_item_nk order_id product_id qty"),
+        _contract("fact_order_items", "primary_key", "fact_order_item_id", "SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"),
         _contract("fact_order_items", "unique", "order_item_nk",
                   "SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"),
         _contract("fact_order_items", "references", "order_id",
@@ -248,6 +255,20 @@ _CONTRACTS = "\nUNION ALL ".join(
     ]
 )
 
+_STAGING_CONTRACTS = "\nUNION ALL ".join(
+    [
+        *_no_nulls("customers_clean", "customer_id batch_date"),
+        _contract("customers_clean", "unique", "batch_date+customer_id", _NOTHING),
+        *_no_nulls("products_clean", "part_sku batch_date"),
+        _contract("products_clean", "unique", "batch_date+part_sku", "SELECT p_partkey FROM part GROUP BY 1"),
+        *_no_nulls("orders_clean", "order_id customer_id order_created_at order_date status batch_date",
+                   {"status": _URGENT}),
+        _contract("orders_clean", "unique", "batch_date+order_id", _NOTHING),
+        *_no_nulls("order_items_clean", "order_item_id order_id part_sku qty batch_date"),
+        _contract("order_items_clean", "unique", "batch_date+order_item_id", _NOTHING),
+    ]
+)
+
 
 ORACLE_SQL: dict[str, str] = {
     "raw_csv_ingest": f"""
@@ -426,6 +447,7 @@ FROM base""",
         ]
     ),
     "contract_checks": _CONTRACTS,
+    "contract_checks_staging": _STAGING_CONTRACTS,
     "run_audit_latest": """
 WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id
     ORDER BY date_trunc('second', ts) DESC, event_id DESC) AS rn,

@@ -20,7 +20,7 @@ from orderloom.operators.latest import latest_by_key
 from orderloom.operators.upsert import absent_rows, upsert, with_new_ids
 from orderloom.plans import batch
 from orderloom.plans.warehouse import Warehouse
-from orderloom.schemas import DWH, RAW
+from orderloom.schemas import DWH, RAW, STG
 from orderloom.session import configure, in_parallel, scratch_dir, settle
 from orderloom.sources import landing
 from orderloom.sources import sample_tables as sample
@@ -360,6 +360,18 @@ def contract_checks(spark: SparkSession, folder: str) -> DataFrame:
     return quality.contract_checks(DWH, frames)
 
 
+def contract_checks_staging(spark: SparkSession, folder: str) -> DataFrame:
+    """Staging with states missing from urgent orders and every product staged twice."""
+    cleaned = {
+        name: _stage(clean_batch(sample.LANDED[raw](spark, folder)).drop("batch_date"), "2001-12-31", 1)
+        for name, (raw, clean_batch) in clean.CLEANERS.items()
+    }
+    state = F.when(~F.col("sales_channel").eqNullSafe("1-urgent"), F.col("status"))
+    cleaned["orders_clean"] = cleaned["orders_clean"].withColumn("status", state)
+    cleaned["products_clean"] = cleaned["products_clean"].unionByName(cleaned["products_clean"])
+    return quality.contract_checks(STG, cleaned)
+
+
 def quality_report(spark: SparkSession, folder: str) -> DataFrame:
     """All four checks over the sample star as one report."""
     return quality.run_checks(
@@ -456,6 +468,7 @@ _QUERIES: dict[str, Query] = {
     "dq_order_sum_mismatch": dq_order_sum_mismatch,
     "quality_report": quality_report,
     "contract_checks": contract_checks,
+    "contract_checks_staging": contract_checks_staging,
     "run_audit_latest": run_audit_latest,
     "latest_event_by_user": latest_event_by_user,
     "batch_daily_sales": batch_daily_sales,
