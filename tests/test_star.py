@@ -161,7 +161,7 @@ def test_contracts_count_broken_rules(spark):
     assert found == {
         ("not_null", "order_id"): 0, ("not_null", "order_nk"): 1,
         ("not_null", "customer_id"): 1, ("not_null", "date_id"): 0,
-        ("unique", "order_nk"): 1, ("primary_key", "order_id"): 1, ("references", "customer_id"): 2,
+        ("unique", "order_nk"): 1, ("primary_key", "order_id"): 0, ("references", "customer_id"): 2,
         ("references", "date_id"): 0, ("references", "channel_id"): 1,
     }
 
