@@ -78,7 +78,8 @@ def exact_dedup(
             F.col("keep_id").alias("_keep_id"),
             F.col("keep_rows").alias("_keep_rows"),
             F.col("group_size").alias("_group_size"),
-        ),
+            # Their number follows the corpus: joined by shuffle at every size.
+        ).hint("merge"),
         "_full_hash",
         "left",
     )
@@ -94,6 +95,8 @@ def exact_dedup(
         )
 
     # Only rows that repeat the staying id need numbering; all others are decided by the join.
+    if classes.where("keep_rows > 1").isEmpty():
+        return result(marked, stays)
     repeated = stays & (F.coalesce("_keep_rows", F.lit(1)) > 1)
     number = F.row_number().over(Window.partitionBy("_full_hash").orderBy(F.lit(0)))
     once = result(marked.where(~repeated), stays)
