@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -32,8 +33,6 @@ BLANKS = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
-#: Letters looked at to tell the script.
-SCRIPT_LETTERS = 2_000
 
 
 @dataclass(frozen=True)
@@ -117,11 +116,12 @@ def _script_of(letter: str) -> str:
 
 
 def script_of(text: str) -> str:
-    """The script most letters are in, by their Unicode names; none is ''."""
+    """The script most letters of the whole text are in, by their Unicode names; none is ''."""
     seen: dict[str, int] = {}
-    for letter in filter(str.isalpha, text[:SCRIPT_LETTERS]):
-        script = _script_of(letter)
-        seen[script] = seen.get(script, 0) + 1
+    for letter, n in Counter(text).items():
+        if letter.isalpha():
+            script = _script_of(letter)
+            seen[script] = seen.get(script, 0) + n
     return max(seen, key=lambda s: (seen[s], s), default="")
 
 

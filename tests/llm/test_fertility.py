@@ -85,6 +85,20 @@ def test_script_decides_without_a_language():
     assert fertility.band_of("en", "Слово", fertility.LANGUAGES, fertility.SCRIPTS) == fertility.LANGUAGES["en"]
 
 
+def test_script_counts_the_whole_text(documents):
+    assert fertility.script_of("word " * 500 + "слово " * 5_000) == "CYRILLIC"
+    assert fertility.script_of("12 | 34 " * 500 + "word") == "LATIN"
+    # Figures before words that end alike: junk for LATIN, nothing for texts without letters.
+    rng = random.Random(4)
+    figures = " ".join(str(rng.randrange(10_000)) for _ in range(600))
+    junk = " ".join(rng.choice(PROSE).upper() + "!!" for _ in range(6_000))
+    # Chinese behind a Latin head: many bytes, as its own band allows.
+    chinese = " ".join("".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(6)) for _ in range(3_000))
+    rows = [(1, f"{figures} {junk}", None), (2, f"{prose(rng, 600)} {chinese}", "zh")]
+    found = {r.doc_id: r.kept for r in fertility.assess(documents(rows), PATH).collect()}
+    assert found == {1: False, 2: True}
+
+
 def test_keep_good_keeps_columns(documents, odd_rows):
     docs = documents(odd_rows)
     left = fertility.keep_good(docs, PATH)
