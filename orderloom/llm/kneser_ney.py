@@ -34,7 +34,7 @@ from orderloom.llm.common import UPPER, WORD, quoted, whole
 WORDS = re.compile(WORD)
 LOWER = str.maketrans(UPPER, UPPER.lower())
 ORDER = 2
-#: Bytes of text whose n-grams one share holds, and that are dealt at a time.
+#: Bytes of text whose bigrams one share holds (longer n-grams: fewer), and that are dealt at a time.
 SHARE_BYTES = 16 << 20
 DEALT_BYTES = 8 << 20
 CACHE_WORDS = 400_000
@@ -431,7 +431,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     """
     text = whole(quoted(text_col))
     held = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
-    shares = max(1, math.ceil(held / share_bytes))
+    shares = max(1, math.ceil(held * order / (2 * share_bytes)))
     id_field = StructField("id", docs.schema[id_col].dataType)
     source = docs.select(quoted(id_col).alias("id"), text.alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     dealt = source.mapInArrow(_deal(order, shares), "part int, uid bigint, kind int, body binary")

@@ -12,6 +12,7 @@ from orderloom.llm.common import fold_of, table, whole
 SHARDS = 8
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
+KNESER_NEY_ORDER = 3
 #: Says what the templates mark turns with; it must come back as it was.
 PROBE = r"\### Assistant: </turn> ok"
 
@@ -42,7 +43,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kneser_ney.score(table(spark, sf_dir, "documents"), train=fold_of(F.col("doc_id")) != 1)
+    return kneser_ney.score(table(spark, sf_dir, "documents"), train=fold_of(F.col("doc_id")) != 1, order=KNESER_NEY_ORDER)
 
 
 def op7_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,13 +3,14 @@ from __future__ import annotations
 import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.llm import kneser_ney
+from orderloom.llm import kneser_ney, queries
 
 WORD = re.compile(r"[^\x20\t-\r]+")
 
@@ -100,3 +101,13 @@ def test_sorted_hashes_are_mapped_and_found():
     with kneser_ney.SortedHashes(keys, np.arange(1000.0)) as held:
         assert isinstance(held.hashes, np.memmap)
         assert held.find(keys[[5, 999, 0]]).tolist() == [5.0, 999.0, 0.0]
+
+
+def test_registered_query_scores_with_two_words_of_history(spark):
+    small = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+    wanted = brute([(t, zlib.crc32(str(i).encode()) % 5 != 1) for i, t in rows], 3)
+    got = {r.doc_id: tuple(r)[1:] for r in queries.op6_kneser_ney(spark, small).collect()}
+    assert len(got) == len(rows)
+    for (doc_id, _), row in zip(rows, wanted, strict=True):
+        np.testing.assert_allclose(got[doc_id], row, rtol=1e-9)
