@@ -348,7 +348,8 @@ def _buckets(sets: DataFrame, runs: int, levels: int, small: int) -> tuple[DataF
 
     A bucket is ready when it is small or at the last level. Members of a large one are first
     held against its first member; buckets whose members are then all connected have nothing
-    left to find, and neither has a second bucket of the same members.
+    left to find, and neither has a second bucket of the same members that is compared now. Those
+    that still split do so in every run: runs are independent tries at the next level, too.
     """
     first = f"flatten(transform(sequence(0, {runs - 1}), r -> transform(choices[r * {levels}], t -> named_struct('run', r, 'bucket', xxhash64(r, t)))))"
     paths = sets.select("set_id", F.explode(F.expr(first)).alias("p")).select("set_id", "p.run", "p.bucket")
@@ -359,10 +360,12 @@ def _buckets(sets: DataFrame, runs: int, levels: int, small: int) -> tuple[DataF
         held = paths.groupBy("run", "bucket").agg(
             F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("set_id")).alias("members")
         )
-        once = held.where("size > 1").groupBy("size", "members").agg(F.min(F.struct("run", "bucket")).alias("b"))
+        last = level == levels - 1
+        splits = F.lit(False) if last else F.col("size") > small
+        alike = [F.when(splits, F.col("run")).alias("of_run"), "size", "members"]
+        once = held.where("size > 1").groupBy(*alike).agg(F.min(F.struct("run", "bucket")).alias("b"))
         once = settle(once.select("size", "b.run", "b.bucket"))
         found = settle(paths.join(once.hint("merge"), ["run", "bucket"]).select("run", "bucket", "size", "set_id"))
-        last = level == levels - 1
         large = found.where(f"size > {small}")
         if not large.isEmpty():
             near = _near_pivots(large, sets)

@@ -73,6 +73,28 @@ def test_against_brute_force(documents, odd_rows, small, block):
     )
 
 
+def hot_template(seed=2, pairs=100):
+    """Pairs at 89 of 111 shingles, 67 of them a template all texts begin with; others are at half.
+
+    Of this template's shingles run 0 chooses some at level 0 and none at level 1, run 1 some at
+    every level: pairs that meet only in the template are found where run 1 splits it, too.
+    """
+    template = [f"t{seed}x{i}" for i in range(71)]
+    rows = []
+    for i in range(pairs):
+        shared = [f"s{i}x{k}" for k in range(22)]
+        rows += [(2 * i + own, " ".join([*template, *shared, *(f"o{i}x{own}x{k}" for k in range(11))])) for own in (0, 1)]
+    return rows
+
+
+def test_large_buckets_split_in_every_run(documents):
+    rows = hot_template()
+    wanted = expected(rows)
+    assert all(size == 2 and links == 1 for _, _, size, links in wanted)
+    found = chosen_path.join(documents(rows), recall=0.95, small=20).collect()
+    assert sorted((tuple(r) for r in found), key=str) == wanted
+
+
 def test_runs_follow_the_recall():
     assert chosen_path.runs_for(0.9) < chosen_path.runs_for(0.9999) < chosen_path.runs_for(0.99999999)
 
