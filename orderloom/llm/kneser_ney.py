@@ -4,9 +4,10 @@ The corpus' n-grams are dealt by a hash of their last two words, so a share know
 and continuation counts of its n-grams of order two and up. What a probability also needs -
 how often a word or a history continues, whatever the n-gram - is summed up by key: shares
 send what they hold of each key to the key's place and get the totals back. A share then
-stores its model as sorted arrays of 64-bit hashes with log probabilities, maps them into
-memory, and scores its n-grams of all documents by binary search; document sums meet again at
-the end. So neither the model nor the corpus is ever whole in one place, both grow with the
+writes the log probabilities of the n-grams it has to score as sorted arrays of 64-bit hashes,
+maps them into memory for the one task, and scores its n-grams of all documents by binary
+search; document sums meet again at the end. No model is kept after that, so texts outside the
+frame cannot be scored. So neither the model nor the corpus is ever whole in one place, both grow with the
 number of shares, and text is read and shuffled once, as packed codes.
 
 Counts, hashes and sums are numpy arrays inside tasks; Spark deals, shuffles and repeats them.
