@@ -6,13 +6,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, chosen_path, exact_dedup, fertility, interleave, kneser_ney, packing, pieces, repeats, toxic_spans
-from orderloom.llm.common import fold_of, table, whole
+from orderloom.llm import (
+    chat,
+    chosen_path,
+    exact_dedup,
+    fertility,
+    interleave,
+    kneser_ney,
+    mixture,
+    packing,
+    pieces,
+    prefix_trie,
+    repeats,
+    spelling,
+    toxic_spans,
+)
+from orderloom.llm.common import WORD, fold_of, table, whole
 
 SHARDS = 8
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 KNESER_NEY_ORDER = 3
+#: Weights go round the sources.
+MIXTURE_WEIGHTS = (3, 1, 2)
 #: Says what the templates mark turns with; it must come back as it was.
 PROBE = r"\### Assistant: </turn> ok"
 
@@ -84,6 +100,24 @@ def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", "predicted", "largest_marginal", "n_spans", "spans")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.words_of(table(spark, sf_dir, "documents")))
+
+
+def op12_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = whole("text")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.md5(text).alias("digest")
+    )
+    mixed = mixture.mix(docs, SHARDS, MIXTURE_WEIGHTS, order_cols=["doc_id", "digest"])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_of(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.with_shared_heads(turns)).drop("path", "parent")
+
+
 QUERIES = {
     "op1_pieces": op1_pieces,
     "op2_repeats": op2_repeats,
@@ -95,6 +129,9 @@ QUERIES = {
     "op8_chosen_path": op8_chosen_path,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxic_spans": op10_toxic_spans,
+    "op11_spelling": op11_spelling,
+    "op12_mixture": op12_mixture,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL = {
@@ -107,4 +144,7 @@ ORACLE_SQL = {
             doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)
     """,
+    "op11_spelling": spelling.ORACLE_SQL,
+    "op12_mixture": mixture.ORACLE_SQL,
+    "op13_prefix_trie": prefix_trie.ORACLE_SQL,
 }

@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from orderloom.llm import spelling
+
+
+def brute_words(rows):
+    counts = Counter()
+    for doc_id, text, *_ in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_variants(words):
+    rows = {}
+    for w, n in words.items():
+        near = [x for x in words if x != w and one_edit(w, x)]
+        best = min(near, key=lambda x: (-words[x], x), default=None)
+        form = best if best is not None and words[best] >= 10 * n else None
+        rows[w] = [form, n, len(near), words[form] if form else None]
+    out = set()
+    for w, (form, n, near, form_n) in rows.items():
+        root = w
+        while rows[root][0] is not None:
+            root = rows[root][0]
+        out.add((w, form, root, n, near, form_n))
+    return out
+
+
+def found(words_frame, **options):
+    rows = [tuple(r) for r in spelling.variants(words_frame, **options).collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def corpus(seed=3, docs=60):
+    rng = random.Random(seed)
+    syllables = ["an", "ber", "col", "tion", "ée", "st", "ll", "ss", "o", "ing"]
+    vocabulary = ["".join(rng.choice(syllables) for _ in range(rng.randrange(3, 6))) for _ in range(60)]
+    weights = [1 / (i + 1) ** 1.3 for i in range(len(vocabulary))]
+    rows = []
+    for i in range(docs):
+        words = rng.choices(vocabulary, weights, k=150)
+        for j in range(0, 150, 7):
+            w = words[j]
+            at = rng.randrange(len(w))
+            words[j] = rng.choice([w[:at] + w[at + 1 :], w[:at] + "x" + w[at:], w[:at] + "y" + w[at + 1 :], w.upper(), w + w[-1]])
+        rows.append((i, " ".join(words) + "! 42"))
+    return rows
+
+
+def test_words_and_variants_against_brute_force(spark, documents):
+    rows = corpus()
+    words = spelling.words_of(documents(rows))
+    expected = brute_words(rows)
+    assert {r.word: r.n for r in words.collect()} == expected
+    result = found(words)
+    assert result == brute_variants(expected)
+    assert any(r[1] for r in result)
+
+
+@pytest.mark.parametrize("dictionary", [2, 30, 1 << 12])
+def test_every_dictionary_finds_every_pair(spark, dictionary):
+    """Short and repeated letters: all edits of a few words, with runs where a deletion is ambiguous."""
+    rng = random.Random(dictionary)
+    words = {}
+    for base in ("aaaaaaaa", "abababab", "aabbaabbc", "zzzzzzzzzzz", "abcdefg"):
+        words[base] = rng.randrange(2, 400)
+        for _ in range(60):
+            at = rng.randrange(len(base) + 1)
+            c = rng.choice("abz")
+            for w in (base[:at] + c + base[at:], base[:at] + c + base[at + 1 :], base[:at] + base[at + 1 :]):
+                if len(w) >= 7:
+                    words.setdefault(w, rng.randrange(2, 400))
+    frame = spark.createDataFrame(sorted(words.items()), "word string, n long").repartition(3)
+    assert found(frame, dictionary=dictionary) == brute_variants(words)
+
+
+def test_chains_of_forms_end_at_their_root(spark):
+    words = {"abcdefgh" + "x" * k: 2 * 10**k for k in range(6)}
+    frame = spark.createDataFrame(sorted(words.items()), "word string, n long")
+    result = {r[0]: r[2] for r in found(frame)}
+    assert set(result.values()) == {"abcdefghxxxxx"}
+    grouped = spelling.groups(spelling.variants(frame)).collect()
+    assert [(r.root, r.words, r.n) for r in grouped] == [("abcdefghxxxxx", 6, sum(words.values()))]
+
+
+def test_a_list_of_one_key_spans_batches(spark):
+    """A large merged list arrives in several batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        words = {"prefix" + a + b + "suffix": 2 + (ord(a) * 7 + ord(b)) % 50 for a in "abcdefgh" for b in "abcdefgh"}
+        frame = spark.createDataFrame(sorted(words.items()), "word string, n long")
+        assert found(frame) == brute_variants(words)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_odd_rows(spark, documents, odd_rows):
+    rows = [*odd_rows, (10, "y" * 50_000 + " " + "y" * 50_000), (10, "Straße Übergang übergang ÜBERGANG"), (11, "Übergang×÷ Übergang×÷")]
+    words = spelling.words_of(documents(rows))
+    expected = brute_words(rows)
+    assert {r.word: r.n for r in words.collect()} == expected
+    assert found(words) == brute_variants(expected)
+    assert spelling.variants(spelling.words_of(documents([]))).count() == 0
+    clashing = documents(odd_rows).withColumnsRenamed({"kept": "word", "shard": "run", "lang": "h", "source": "at"})
+    assert {r.word: r.n for r in spelling.words_of(clashing).collect()} == brute_words(odd_rows)
