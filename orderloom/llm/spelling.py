@@ -50,8 +50,8 @@ DICTIONARY = 1 << 12
 BATCH_ROWS = 100_000
 MOST_ROUNDS = 64
 
-ENTRIES = "key long, word string, n long, low int, high int, gap boolean"
-FOUND = "word string, n_near long, best_n long, best string"
+ENTRIES = "key long, check long, id long, n long, low int, high int, gap boolean, start int, body string"
+FOUND = "id long, n_near long, best_n long, best long"
 
 
 # Words
@@ -154,45 +154,62 @@ def edit_ranges(word: str, frequent: set[str]) -> Iterator[tuple[int, int, int,
 
 
 MASK = (1 << 64) - 1
-STEP = 0x9E3779B97F4A7C15
+STEPS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+ROW_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.string()]
+
+
+def _names(ddl: str) -> list[str]:
+    return [c.split()[0] for c in ddl.split(", ")]
+
+
+def _running(letters: Iterable[str], step: int) -> list[int]:
+    """Hashes of all beginnings, so that a word of any length costs its length."""
+    hashes = [0]
+    for c in letters:
+        hashes.append(((hashes[-1] + ord(c) + 1) * step) & MASK)
+    return hashes
+
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
+def entries_of(word: str, frequent: set[str]) -> Iterator[tuple[int, int, int, int, bool, int, str]]:
+    """(key, check, low, high, gap, start, body) for each range of edit positions of a word.
+
+    ``key`` and ``check`` are hashes of the grams that are left and of how many letters stay;
+    ``body`` is the rest, the window of the edit, from ``start`` on with one letter before it.
+    """
+    size = len(word)
+    (heads, tails), (heads2, tails2) = [(_running(word, step), _running(reversed(word), step)) for step in STEPS]
+    for low, high, left, right, gap in edit_ranges(word, frequent):
+        length = size if gap else size - 1
+        key = heads[left] ^ ((tails[size - right] * 3 + length * STEPS[1] + left) & MASK)
+        key = ((key ^ (key >> 29)) * STEPS[0]) & MASK
+        check = heads2[left] ^ ((tails2[size - right] * 5 + length * STEPS[0] + left) & MASK)
+        start = max(left - 1, 0)
+        yield _signed(key ^ (key >> 32)), _signed(check), low, high, gap, start, word[start:right]
 
 
 def _entries(frequent: set[str]):
-    """Entries of the merged lists for batches of (word, n): key, word, n, range of positions, gap."""
+    """Entries of the merged lists for batches of (id, word, n)."""
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(v, t) for v, t in zip(zip(*rows, strict=True), ROW_TYPES, strict=True)], names=_names(ENTRIES)
+        )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in ENTRIES.split(", ")]
-        types = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+        rows: list[tuple] = []
         for batch in batches:
-            keys, words, counts, lows, highs, gaps = [], [], [], [], [], []
-
-            def packed() -> pa.RecordBatch:
-                signed = np.array(keys, np.uint64).view(np.int64)
-                columns = [pa.array(v, t) for v, t in zip([signed, words, counts, lows, highs, gaps], types, strict=True)]
-                return pa.RecordBatch.from_arrays(columns, names=names)
-
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                size = len(word)
-                # Running hashes, so that a word of any length costs its length.
-                heads, tails = [0], [0]
-                for c in word:
-                    heads.append(((heads[-1] + ord(c) + 1) * STEP) & MASK)
-                for c in reversed(word):
-                    tails.append(((tails[-1] + ord(c) + 1) * STEP) & MASK)
-                for low, high, left, right, gap in edit_ranges(word, frequent):
-                    length = size if gap else size - 1
-                    key = heads[left] ^ ((tails[size - right] * 3 + length * 0xD6E8FEB86659FD93 + left * 0xA24BAED4963EE407) & MASK)
-                    keys.append(((key ^ (key >> 29)) * STEP) & MASK)
-                    words.append(word)
-                    counts.append(n)
-                    lows.append(low)
-                    highs.append(high)
-                    gaps.append(gap)
-                if len(keys) >= BATCH_ROWS:
-                    yield packed()
-                    keys, words, counts, lows, highs, gaps = [], [], [], [], [], []
-            if keys:
-                yield packed()
+            for id_, word, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                for key, check, low, high, gap, start, body in entries_of(word, frequent):
+                    rows.append((key, check, id_, n, low, high, gap, start, body))
+                if len(rows) >= BATCH_ROWS:
+                    yield packed(rows)
+                    rows = []
+        if rows:
+            yield packed(rows)
 
     return run
 
@@ -200,50 +217,48 @@ def _entries(frequent: set[str]):
 # Verification
 
 
-def near_in_list(members: list[tuple[str, int, int, int, bool]]) -> Iterator[tuple[str, int, int, str]]:
-    """(word, near words, count of the best, the best) for the words of one merged list.
+def near_in_list(members: list[tuple[int, int, int, int, int, bool, int, str]]) -> Iterator[tuple[int, int, int, int]]:
+    """(id, near words, count of the best, id of the best) for the words of one merged list.
 
-    Members are (word, n, low, high, gap). Words that leave the same letters at the same
-    position are near one another; a gap leaves all of its word.
+    Members are (check, id, n, low, high, gap, start, body). Words that leave the same letters
+    at the same position are near one another; a gap leaves all of its letters. Of equal counts
+    the smaller id is best: ids rise in code-point order.
     """
-    meets: dict[tuple[int, str], list[tuple[str, int, bool, bool]]] = {}
-    for word, n, low, high, gap in members:
+    meets: dict[tuple[int, int, str], list[tuple[int, int, bool, bool]]] = {}
+    for check, id_, n, low, high, gap, start, body in members:
         for i in range(low, high + 1):
-            rest = word if gap else word[:i] + word[i + 1 :]
+            at = i - start
+            rest = body if gap else body[:at] + body[at + 1 :]
             # The first of a run of equal letters stands for the deletion of any of them.
-            first = gap or i == 0 or word[i - 1] != word[i]
-            meets.setdefault((i, rest), []).append((word, n, gap, first))
+            first = gap or at == 0 or body[at - 1] != body[at]
+            meets.setdefault((i, check, rest), []).append((-n, id_, gap, first))
     for met in meets.values():
         if len(met) < 2:
             continue
-        replaced = sorted([(-n, w, first) for w, n, gap, first in met if not gap])
-        shorter = next(((-n, w) for w, n, gap, _ in met if gap), None)
-        longer = [(m, w) for m, w, first in replaced if first]
-        for at, (_, word, first) in enumerate(replaced):
-            count, best = len(replaced) - 1, None
-            if count:
-                best = replaced[1 if at == 0 else 0][:2]
-            if shorter and first:
-                count += 1
-                best = min(best, shorter) if best else shorter
-            if count:
-                yield word, count, -best[0], best[1]
-        if shorter and longer:
+        replaced = sorted(m for m in met if not m[2])
+        if len(replaced) > 1:
+            for at, m in enumerate(replaced):
+                best = replaced[1 if at == 0 else 0]
+                yield m[1], len(replaced) - 1, -best[0], best[1]
+        # A gap leaves the whole word, so one word at most is in this place by its gap.
+        shorter = next((m for m in met if m[2]), None)
+        longer = [m for m in replaced if m[3]] if shorter else []
+        for m in longer:
+            yield m[1], 1, -shorter[0], shorter[1]
+        if longer:
             yield shorter[1], len(longer), -longer[0][0], longer[0][1]
 
 
 def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merged lists come in order of their key; a list is held until the next key comes."""
-    names = [c.split()[0] for c in FOUND.split(", ")]
-    types = [pa.string(), pa.int64(), pa.int64(), pa.string()]
     found: list[tuple] = []
 
     def packed() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*found, strict=True), types, strict=True)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*found, strict=True)], names=_names(FOUND))
 
     def rows(batch: pa.RecordBatch, start: int, stop: int) -> list[tuple]:
         part = batch.slice(start, stop - start)
-        return list(zip(*(part.column(i).to_pylist() for i in range(1, 6)), strict=True))
+        return list(zip(*(part.column(i).to_pylist() for i in range(1, 9)), strict=True))
 
     at, held = None, []
     for batch in batches:
@@ -259,33 +274,45 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
         if len(held) > 1:
             found += near_in_list(held)
-        # All but the last list end in this batch; lists of one word have nothing to meet.
-        for start, stop in zip(starts[:-1].tolist(), stops[:-1].tolist(), strict=True):
-            if stop - start > 1:
-                found += near_in_list(rows(batch, start, stop))
-                if len(found) >= BATCH_ROWS:
-                    yield packed()
-                    found.clear()
         at, held = keys[-1], rows(batch, int(starts[-1]), int(stops[-1]))
+        # All but the last list end in this batch; lists of one word have nothing to meet.
+        met = np.flatnonzero(np.diff(starts) > 1)
+        if len(met):
+            inside = np.concatenate([np.arange(starts[m], stops[m]) for m in met])
+            members = list(zip(*(batch.column(i).take(pa.array(inside)).to_pylist() for i in range(1, 9)), strict=True))
+            to = 0
+            for size in (stops[met] - starts[met]).tolist():
+                found += near_in_list(members[to : to + size])
+                to += size
+        if len(found) >= BATCH_ROWS:
+            yield packed()
+            found.clear()
     if len(held) > 1:
         found += near_in_list(held)
     if found:
         yield packed()
 
 
+def numbered(words: DataFrame) -> DataFrame:
+    """(id, word, n) with ids that rise in code-point order. Settled."""
+    ordered = words.select("word", "n").repartitionByRange("word").sortWithinPartitions("word")
+    return settle(ordered.select(F.monotonically_increasing_id().alias("id"), "word", "n"))
+
+
 def near_words(words: DataFrame, dictionary: int = DICTIONARY) -> DataFrame:
-    """(word, n_near, best_n, best) of every word of (word, n) that has a near word.
+    """(id, n_near, best_n, best) of every word of (id, word, n) that has a near word.
 
-    ``best`` is the near word of largest n, of equal ones the first in code-point order. Words
-    are distinct and not NULL.
+    ``best`` is the id of the near word of largest n, of equal ones the first in code-point
+    order. Words are distinct and not NULL. Letters outside the window of an edit are compared
+    by 128 bits of hash, those inside it one by one.
     """
     frequent = frequent_grams(words, dictionary)
-    entries = words.select("word", "n").mapInArrow(_entries(frequent), ENTRIES)
+    entries = words.select("id", "word", "n").mapInArrow(_entries(frequent), ENTRIES)
     lists = entries.repartition("key").sortWithinPartitions("key")
     found = lists.mapInArrow(_meet, FOUND)
     best = F.min(F.struct((-F.col("best_n")).alias("negative"), F.col("best"))).alias("first")
-    return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best).select(
-        "word", "n_near", (-F.col("first.negative")).alias("best_n"), F.col("first.best").alias("best")
+    return found.groupBy("id").agg(F.sum("n_near").alias("n_near"), best).select(
+        "id", "n_near", (-F.col("first.negative")).alias("best_n"), F.col("first.best").alias("best")
     )
 
 
@@ -293,17 +320,17 @@ def near_words(words: DataFrame, dictionary: int = DICTIONARY) -> DataFrame:
 
 
 def roots(forms: DataFrame) -> DataFrame:
-    """(word, root) of every word of (word, form): the end of its chain of forms.
+    """(id, root) of every word of (id, form): the end of its chain of forms.
 
     A form is larger than its word, so chains end; they halve from round to round.
     """
-    known = settle(forms.select("word", F.col("form").alias("root")))
+    known = settle(forms.select("id", F.col("form").alias("root")))
     for _ in range(MOST_ROUNDS):
-        step = known.select(F.col("word").alias("root"), F.col("root").alias("further"))
+        step = known.select(F.col("id").alias("root"), F.col("root").alias("further"))
         further = settle(
-            known.join(step, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved"))
+            known.join(step, "root", "left").select("id", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved"))
         )
-        known = further.select("word", "root")
+        known = further.select("id", "root")
         if further.where("moved").isEmpty():
             return known
     raise RuntimeError(f"forms are chained more than 2^{MOST_ROUNDS} times")
@@ -315,19 +342,28 @@ def variants(words: DataFrame, ratio: int = FORM_RATIO, dictionary: int = DICTIO
     A word's form is its best near word, if that occurs ``ratio`` times as often at least; its
     root is the last of the chain of forms, or itself. No words give no rows.
     """
-    near = near_words(words, dictionary)
+    words = numbered(words)
     is_form = F.col("best_n") >= ratio * F.col("n")
     marked = settle(
-        words.join(near, "word", "left").select(
+        words.join(near_words(words, dictionary), "id", "left").select(
+            "id",
             "word",
-            F.when(is_form, F.col("best")).alias("form"),
             "n",
             F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+            F.when(is_form, F.col("best")).alias("form_id"),
             F.when(is_form, F.col("best_n")).alias("form_n"),
         )
     )
-    ends = roots(marked.where("form is not null").select("word", "form"))
-    return marked.join(ends, "word", "left").select(
+    formed = marked.where("form_id is not null")
+    ends = roots(formed.select("id", F.col("form_id").alias("form")))
+    spelt = [words.select(F.col("id").alias(f"{name}_id"), F.col("word").alias(name)) for name in ("form", "root")]
+    named = (
+        formed.select("id", "form_id")
+        .join(ends.withColumnRenamed("root", "root_id"), "id")
+        .join(spelt[0], "form_id")
+        .join(spelt[1], "root_id")
+    )
+    return marked.join(named.select("id", "form", "root"), "id", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
 
