@@ -5,10 +5,19 @@ from __future__ import annotations
 import argparse
 import logging
 
-from orderloom.plans.batch import publish_marts, run_batch, run_checks
+from orderloom.plans.batch import Extras, publish_marts, run_batch, run_checks
 from orderloom.plans.warehouse import Warehouse
 from orderloom.session import release_scratch, spark_session
 
+#: What a run may keep beside the star; later runs go on with it.
+EXTRAS = {
+    "history": "keep versions of customers and products",
+    "compatibility": "keep the bridge of parts and vehicles",
+    "kept_marts": "keep the marts as states that each run adds to",
+    "replay_rejects": "store rows without customer, order or part and try them again",
+    "cost_on_order_date": "margins at the cost of the order's day; keeps the history too",
+}
+
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="orderloom")
@@ -23,6 +32,9 @@ def main() -> None:
     )
     parser.add_argument("--checks", action="store_true", help="print the data-quality report after")
     parser.add_argument("--keep-runs", type=int, help="delete star folders of older runs after")
+    parser.add_argument("--no-gate", action="store_true", help="publish without checking what the run wrote")
+    for name, said in EXTRAS.items():
+        parser.add_argument(f"--{name.replace('_', '-')}", action="store_true", help=said)
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(name)s: %(message)s")
 
@@ -31,7 +43,8 @@ def main() -> None:
     if args.init:
         warehouse.init()
     multi_line = {"auto": None, "yes": True, "no": False}[args.multi_line]
-    run_batch(spark, args.warehouse, args.landing, args.date, multi_line=multi_line)
+    extras = Extras(gate=not args.no_gate, **{name: getattr(args, name) for name in EXTRAS})
+    run_batch(spark, args.warehouse, args.landing, args.date, multi_line=multi_line, extras=extras)
     if args.marts:
         publish_marts(warehouse, write_to=args.marts)
     if args.checks:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import expressions as x
+from orderloom.operators.asof import asof_join
 
 
 def calendar(dim_date: DataFrame) -> DataFrame:
@@ -50,21 +51,42 @@ def fact_order_items(items: DataFrame, orders: DataFrame, dim_product: DataFrame
     """
     order = orders.select(F.col("order_id").alias("order_sk"), F.col("order_nk").alias("order_id"))
     product = dim_product.select("product_id", "part_sku", "cost_net")
+    return _measured(items.join(product, "part_sku").join(order, "order_id"))
+
+
+def order_day(orders: DataFrame) -> Column:
+    """The day of a stored order, from its date key."""
+    return F.to_date(orders["date_id"].cast("string"), "yyyyMMdd")
+
+
+def fact_order_items_as_of(
+    items: DataFrame, orders: DataFrame, dim_product: DataFrame, product_history: DataFrame
+) -> DataFrame:
+    """Lines as in ``fact_order_items``, at the cost that held on the day of their order.
+
+    An order older than the first version of its part takes the present cost.
+    """
+    order = orders.select(
+        F.col("order_id").alias("order_sk"), F.col("order_nk").alias("order_id"), order_day(orders).alias("order_day")
+    )
+    product = dim_product.select("product_id", "part_sku", F.col("cost_net").alias("present_cost"))
+    dated = items.join(order, "order_id")
+    costed = asof_join(dated, product_history, "part_sku", "order_day", ["cost_net"]).join(product, "part_sku")
+    return _measured(costed.withColumn("cost_net", F.coalesce("cost_net", "present_cost")))
+
+
+def _measured(lines: DataFrame) -> DataFrame:
     qty, net = F.col("qty"), F.col("unit_price_net")
-    return (
-        items.join(product, "part_sku")
-        .join(order, "order_id")
-        .select(
-            F.col("order_item_id").alias("order_item_nk"),
-            F.col("order_sk").alias("order_id"),
-            "product_id",
-            "qty",
-            "unit_price_net",
-            "unit_price_gross",
-            "discount_amount",
-            "tax_amount",
-            x.line_amount(qty, F.col("unit_price_gross")).alias("gross_amount"),
-            x.line_amount(qty, net).alias("net_amount"),
-            x.line_margin(qty, net, F.col("cost_net")).alias("margin_amount"),
-        )
+    return lines.select(
+        F.col("order_item_id").alias("order_item_nk"),
+        F.col("order_sk").alias("order_id"),
+        "product_id",
+        "qty",
+        "unit_price_net",
+        "unit_price_gross",
+        "discount_amount",
+        "tax_amount",
+        x.line_amount(qty, F.col("unit_price_gross")).alias("gross_amount"),
+        x.line_amount(qty, net).alias("net_amount"),
+        x.line_margin(qty, net, F.col("cost_net")).alias("margin_amount"),
     )

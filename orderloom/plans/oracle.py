@@ -269,6 +269,61 @@ _STAGING_CONTRACTS = "\nUNION ALL ".join(
     ]
 )
 
+_GATE_YEAR = "date_part('year', o_orderdate)"
+_GATE_WRITTEN = f"(SELECT * FROM orders WHERE {_GATE_YEAR} >= 1998)"
+_GATE = "\nUNION ALL ".join(
+    [
+        *_no_nulls("fact_orders", "order_id order_nk customer_id date_id",
+                   {"customer_id": f"SELECT 1 FROM {_GATE_WRITTEN} WHERE o_orderpriority = '1-URGENT'",
+                    "date_id": f"SELECT 1 FROM {_GATE_WRITTEN} WHERE o_totalprice > 400000"}),
+        _contract("fact_orders", "unique", "order_nk", f"SELECT 1 FROM {_GATE_WRITTEN} GROUP BY o_orderkey HAVING count(*) > 1"),
+        _contract("fact_orders", "unique_over_batches", "order_nk", f"SELECT 1 FROM orders WHERE {_GATE_YEAR} = 1998"),
+        _contract("fact_orders", "primary_key", "order_id", f"SELECT 1 FROM {_GATE_WRITTEN} GROUP BY o_orderkey HAVING count(*) > 1"),
+        _contract("fact_orders", "primary_key_over_batches", "order_id", f"SELECT 1 FROM orders WHERE {_GATE_YEAR} = 1998"),
+        _contract("fact_orders", "kept", "order_id", f"SELECT 1 FROM orders WHERE {_GATE_YEAR} = 1997"),
+        _contract("fact_orders", "references", "customer_id",
+                  f"SELECT 1 FROM {_GATE_WRITTEN} WHERE o_orderpriority <> '1-URGENT' AND o_custkey NOT IN "
+                  "(SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')"),
+        _contract("fact_orders", "references", "date_id", _NOTHING),
+        _contract("fact_orders", "references", "channel_id", f"SELECT 1 FROM {_GATE_WRITTEN} WHERE o_orderpriority = '1-URGENT'"),
+    ]
+)
+
+
+def _day(column: str) -> str:
+    return f"CAST({column} AS VARCHAR) AS {column}"
+
+
+_CUSTOMER_VERSIONS = f"""
+cleaned AS (SELECT * EXCLUDE (batch_date) FROM ({_CLEAN_CUSTOMERS})),
+again AS (SELECT DATE '2001-12-10' AS day, * REPLACE ('main street' AS street) FROM cleaned WHERE email IS NULL),
+sent AS (
+    SELECT * FROM again
+    UNION ALL SELECT DATE '2001-12-10', * FROM cleaned
+        WHERE postal_code IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM again)
+    UNION ALL SELECT DATE '2001-12-30', * REPLACE ('new ' || segment AS segment) FROM cleaned WHERE phone IS NOT NULL
+    UNION ALL SELECT DATE '2001-12-31', * REPLACE ('new ' || segment AS segment) FROM cleaned WHERE phone IS NOT NULL
+    UNION ALL SELECT DATE '2001-12-20', * REPLACE ('old ' || segment AS segment) FROM cleaned WHERE country IS NOT NULL),
+marked AS (SELECT *, CASE WHEN row(email, phone, segment, country, city, postal_code, street) IS NOT DISTINCT FROM
+        lag(row(email, phone, segment, country, city, postal_code, street)) OVER w THEN 0 ELSE 1 END AS changed
+    FROM sent WINDOW w AS (PARTITION BY customer_id ORDER BY day)),
+numbered AS (SELECT *, sum(changed) OVER (PARTITION BY customer_id ORDER BY day) AS run FROM marked),
+versions AS (SELECT customer_id AS customer_nk, email, phone, segment, country, city, postal_code, street,
+        min(day) AS valid_from, CAST(count(*) AS INTEGER) AS days_observed
+    FROM numbered GROUP BY customer_id, email, phone, segment, country, city, postal_code, street, run),
+intervals AS (SELECT *, lead(valid_from) OVER (PARTITION BY customer_nk ORDER BY valid_from) AS valid_to FROM versions)"""
+
+_RANGES = f"""
+cleaned AS (SELECT part_sku, lower(compatible_make) AS make, lower(compatible_model) AS model,
+        compatible_year_from AS low, compatible_year_to AS high FROM ({_CLEAN_PRODUCTS}) WHERE compatible_make IS NOT NULL),
+sent AS (SELECT * FROM cleaned
+    UNION ALL SELECT part_sku, make, model, high + 1 + high % 3, high + 10 FROM cleaned
+    UNION ALL SELECT part_sku, make, model, 1960, coalesce(low, high) - high % 7 FROM cleaned),
+years AS (SELECT DISTINCT part_sku, make, model, unnest(range(coalesce(low, -9999), coalesce(high, 9999) + 1)) AS year FROM sent),
+islands AS (SELECT *, year - row_number() OVER (PARTITION BY part_sku, make, model ORDER BY year) AS island FROM years),
+bridge AS (SELECT part_sku, make, model, CAST(nullif(min(year), -9999) AS INTEGER) AS year_from,
+        CAST(nullif(max(year), 9999) AS INTEGER) AS year_to FROM islands GROUP BY part_sku, make, model, island)"""
+
 
 ORACLE_SQL: dict[str, str] = {
     "raw_csv_ingest": f"""
@@ -479,4 +534,60 @@ amounts AS (SELECT order_id AS order_key, order_date,
     CAST(qty * unit_price_net AS DECIMAL(14,2)) AS net,
     CAST(qty * unit_price_gross AS DECIMAL(14,2)) AS gross FROM kept)
 SELECT CAST(order_date AS VARCHAR) AS date_day, {_DAILY} FROM amounts GROUP BY 1""",
+    "dim_customer_history": f"""
+WITH {_CUSTOMER_VERSIONS}
+SELECT * REPLACE ({_day("valid_from")}, {_day("valid_to")}), valid_to IS NULL AS is_current FROM intervals""",
+    "dim_customer_as_of": f"""
+WITH {_CUSTOMER_VERSIONS}
+SELECT * EXCLUDE (valid_to, days_observed) REPLACE ({_day("valid_from")}) FROM intervals
+WHERE valid_from <= DATE '2001-12-25' AND coalesce(valid_to > DATE '2001-12-25', true)""",
+    "fact_margin_asof": f"""
+WITH items AS ({_clean_items(_LANDED_ITEMS)}),
+products AS (SELECT part_sku, category, cost_net FROM ({_CLEAN_PRODUCTS})),
+costs AS (SELECT part_sku, DATE '1995-01-01' AS day, cost_net FROM products
+    UNION ALL SELECT part_sku, DATE '1999-07-01', CAST(cost_net * CAST(1.25 AS DECIMAL(3,2)) AS DECIMAL(14,2)) FROM products
+    UNION ALL SELECT part_sku, DATE '1997-03-05', CAST(cost_net * CAST(0.5 AS DECIMAL(3,2)) AS DECIMAL(14,2)) FROM products
+        WHERE category IN ('promo', 'large')),
+costed AS (SELECT i.*, (SELECT arg_max(c.cost_net, c.day) FROM costs c WHERE c.part_sku = i.part_sku
+        AND c.day <= CAST(o_orderdate AS DATE)) AS held, p.cost_net AS present
+    FROM items i JOIN orders ON CAST(o_orderkey AS VARCHAR) = i.order_id JOIN products p ON p.part_sku = i.part_sku)
+SELECT order_item_id AS order_item_nk, CAST(part_sku AS BIGINT) AS product_id, CAST(qty AS DOUBLE) AS qty,
+    CAST(CAST(qty * unit_price_net AS DECIMAL(14,2)) AS DOUBLE) AS net_amount,
+    CAST(CAST(qty * unit_price_net - qty * coalesce(held, present) AS DECIMAL(14,2)) AS DOUBLE) AS margin_amount
+FROM costed""",
+    "bridge_product_compatibility": f"WITH {_RANGES} SELECT * FROM bridge",
+    "bridge_product_gaps": f"""
+WITH {_RANGES}, following AS (SELECT *, lead(year_from) OVER (PARTITION BY part_sku, make, model
+    ORDER BY year_from NULLS FIRST) AS next FROM bridge)
+SELECT part_sku, make, model, year_to + 1 AS gap_from, next - 1 AS gap_to FROM following WHERE next IS NOT NULL""",
+    "fact_orders_replayed": f"""
+WITH {_ORDER_BATCHES},
+customers AS (SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_acctbal >= 0 AS early
+    FROM customer WHERE c_mktsegment <> 'BUILDING' OR c_acctbal < 0),
+sent AS (
+    SELECT order_id, status, customer_id, 1 AS batch FROM first_batch WHERE order_id NOT IN (SELECT order_id FROM second_batch)
+    UNION ALL SELECT order_id, status, customer_id, 2 FROM second_batch)
+SELECT order_id AS order_nk, status AS order_status, NULL AS reason, CAST(NULL AS INTEGER) AS tries
+    FROM sent WHERE customer_id IN (SELECT customer_id FROM customers)
+UNION ALL SELECT order_id, status, 'unknown customer', CAST(3 - batch AS INTEGER)
+    FROM sent WHERE customer_id NOT IN (SELECT customer_id FROM customers)""",
+    "gate_delta_checks": _GATE,
+    "quarantine_counts": f"""
+WITH landed AS (SELECT DISTINCT *, CAST(order_id AS BIGINT) % 100 AS odd FROM ({_LANDED_ITEMS}))
+SELECT 'order_items' AS table_name, column_name, reason, count(*) AS bad_cells FROM (
+    SELECT 'qty' AS column_name, 'not a number' AS reason FROM landed WHERE odd = 1
+    UNION ALL SELECT 'unit_price_net', 'too large' FROM landed WHERE odd = 2
+    UNION ALL SELECT 'tax_amount', 'not a number' FROM landed WHERE odd IN (1, 3)
+    UNION ALL SELECT 'line_no', 'not a whole number' FROM landed WHERE odd = 4
+    UNION ALL SELECT 'line_no', 'too large' FROM landed WHERE odd = 5)
+GROUP BY ALL""",
+    "reconcile_layers": """
+WITH months AS (SELECT strftime(l_shipdate, '%Y-%m') AS month, strftime(l_shipdate, '%m') AS m, l_returnflag AS flag FROM lineitem)
+SELECT month, CAST(CASE WHEN m = '02' THEN -count(*) WHEN m = '09' THEN count(*) ELSE 0 END AS BIGINT) AS rows_more,
+    CASE m WHEN '02' THEN 'rows lost' WHEN '09' THEN 'rows added' ELSE 'values changed' END AS verdict,
+    CASE WHEN m = '05' THEN 'price' ELSE '' END AS changed
+FROM months WHERE (m = '02' AND flag = 'R') OR (m = '05' AND flag = 'N') OR (m = '09' AND flag = 'A') GROUP BY month, m""",
 }
+for _mart in ("daily_sales", "top_parts", "margin_by_category", "cohort_retention", "rfm_segments"):
+    ORACLE_SQL[f"kept_{_mart}"] = ORACLE_SQL[f"mart_{_mart}"]
+ORACLE_SQL["stream_daily_sales"] = ORACLE_SQL["batch_daily_sales"]

@@ -15,15 +15,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType
 
 from orderloom.functions.expressions import timestamp_literal
-from orderloom.operators import audit, clean, dimensions, facts, marts, quality
+from orderloom.operators import (
+    audit,
+    clean,
+    compatibility,
+    dimensions,
+    facts,
+    history,
+    kept_marts,
+    marts,
+    quality,
+    quarantine,
+    reconcile,
+    rejects,
+)
 from orderloom.operators.latest import latest_by_key
 from orderloom.operators.upsert import absent_rows, upsert, with_new_ids
 from orderloom.plans import batch
 from orderloom.plans.warehouse import Warehouse
-from orderloom.schemas import DWH, RAW, STG
+from orderloom.schemas import DWH, RAW, REJECTS, STG
 from orderloom.session import configure, in_parallel, scratch_dir, settle
 from orderloom.sources import landing
 from orderloom.sources import sample_tables as sample
+from orderloom.streaming import landing_stream
 
 AS_OF = date(2001, 8, 2)
 TOP_K = 20
@@ -260,6 +274,120 @@ def fact_order_items_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return plain(upsert(loaded[0], loaded[1], "order_item_nk"))
 
 
+# History, compatibility, rejects
+
+
+def _customer_batches(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Customers with a postal code, then those with a phone in a new segment, then, late, all of a country in another."""
+    cleaned = settle(clean.clean_customers(sample.landed_customers(spark, folder))).drop("batch_date")
+    cleaned = cleaned.withColumnRenamed("customer_id", "customer_nk")
+    return {
+        "2001-12-10": cleaned.where(F.col("postal_code").isNotNull()),
+        "2001-12-30": cleaned.where(F.col("phone").isNotNull()).withColumn("segment", F.concat(F.lit("new "), "segment")),
+        "2001-12-31": cleaned.where(F.col("phone").isNotNull()).withColumn("segment", F.concat(F.lit("new "), "segment")),
+        "2001-12-20": cleaned.where(F.col("country").isNotNull()).withColumn("segment", F.concat(F.lit("old "), "segment")),
+        # Sent again: what the day said first no longer counts.
+        "2001-12-10 again": cleaned.where(F.col("email").isNull()).withColumn("street", F.lit("main street")),
+    }
+
+
+def _history(batches: dict[str, DataFrame], key: str) -> DataFrame:
+    """The batches merged one after the other, as daily runs do."""
+    found: DataFrame | None = None
+    for day, rows in batches.items():
+        sent = rows.withColumn("day", F.lit(day.split(" ")[0]).cast("date"))
+        attributes = [c for c in rows.columns if c != key]
+        if found is None:
+            found = history.versions(sent, key, attributes, "day")
+        else:
+            found = settle(history.merge_versions(found, sent, key, attributes, "day"))
+    return found
+
+
+def dim_customer_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions of customers after five batches, the last two late."""
+    found = _history(_customer_batches(spark, folder), "customer_nk")
+    return plain(found.withColumn("days_observed", F.size("observed")).drop("observed"))
+
+
+def dim_customer_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """The customers as they were on a day between two batches."""
+    found = history.as_of(_history(_customer_batches(spark, folder), "customer_nk"), "2001-12-25")
+    return plain(found.drop("observed", "valid_to", "is_current"))
+
+
+def _product_costs(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions of the catalogue: costs of 1995, raised in 1999, and, sent late, halved for some parts from 1997 on."""
+    products = settle(clean.clean_products(sample.landed_products(spark, folder))).select("part_sku", "category", "cost_net")
+    times = {"1995-01-01": "1", "1999-07-01": "1.25", "1997-03-05": "0.5"}
+    batches = {
+        day: products.withColumn("cost_net", (F.col("cost_net") * F.lit(rate).cast("decimal(3,2)")).cast("decimal(14,2)"))
+        for day, rate in times.items()
+    }
+    batches["1997-03-05"] = batches["1997-03-05"].where("category in ('promo', 'large')")
+    return _history(batches, "part_sku")
+
+
+def fact_margin_asof(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with their margin at the cost that held on the day of the order."""
+    items = clean.clean_order_items(sample.landed_order_items(spark, folder))
+    products = clean.clean_products(sample.landed_products(spark, folder)).select(
+        F.col("part_sku").cast("bigint").alias("product_id"), "part_sku", "cost_net"
+    )
+    orders = sample.star_orders(spark, folder).select("order_id", "order_nk", "date_id")
+    lines = facts.fact_order_items_as_of(items, orders, products, _product_costs(spark, folder))
+    return plain(lines.select("order_item_nk", "product_id", "qty", "net_amount", "margin_amount"))
+
+
+def _compatibility(spark: SparkSession, folder: str) -> DataFrame:
+    """A bridge that took in three deliveries, the second and third with other years."""
+    products = settle(clean.clean_products(sample.landed_products(spark, folder)))
+    low, high = F.col("compatible_year_from"), F.col("compatible_year_to")
+    sent = [
+        products,
+        products.withColumns({"compatible_year_from": high + 1 + (high % 3), "compatible_year_to": high + 10}),
+        products.withColumns({"compatible_year_to": F.coalesce(low, high) - (high % 7), "compatible_year_from": F.lit(1960)}),
+    ]
+    bridge = compatibility.coalesce_ranges(compatibility.fitted_ranges(sent[0]))
+    columns = bridge.columns
+    for more in sent[1:]:
+        bridge = compatibility.coalesce_ranges(bridge.unionByName(compatibility.fitted_ranges(more).select(*columns)))
+    return bridge
+
+
+def bridge_product_compatibility(spark: SparkSession, folder: str) -> DataFrame:
+    return _compatibility(spark, folder)
+
+
+def bridge_product_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    return compatibility.range_gaps(_compatibility(spark, folder))
+
+
+def fact_orders_replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders whose customers come a batch late: rejected, stored, and loaded when their customer is there.
+
+    Customers without a phone come late, those of one segment never.
+    """
+    first, second = _staged_orders(spark, folder)
+    both = first.unionByName(second)
+    days = settle(dimensions.dates(both))
+    channels = settle(with_new_ids(dimensions.channels(both), "channel_id", 1))
+    everyone = clean.clean_customers(sample.landed_customers(spark, folder)).where("segment != 'building'")
+    keys = [F.col("customer_id").cast("bigint").alias("customer_id"), F.col("customer_id").alias("customer_nk")]
+    known = [everyone.where(F.col("phone").isNotNull()).select(*keys), everyone.select(*keys)]
+    columns = [c for c in STG["orders_clean"].columns if c in REJECTS["rejected_orders"].columns]
+    rejected = spark.createDataFrame([], REJECTS["rejected_orders"].schema)
+    merged = None
+    for batch_rows, customers, day in zip((first, second), known, ("2001-12-30", "2001-12-31"), strict=True):
+        rows = settle(rejects.tried(batch_rows, rejected, "order_id", columns, day))
+        loaded = facts.fact_orders(rows, customers, days, channels)
+        merged = loaded if merged is None else upsert(merged, loaded, "order_nk")
+        rejected = settle(rejects.rejected_orders(rows, customers))
+    stored = merged.select("order_nk", "order_status", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("int").alias("tries"))
+    left = rejected.select(F.col("order_id").alias("order_nk"), F.col("status").alias("order_status"), "reason", "tries")
+    return stored.unionByName(left)
+
+
 # Marts
 
 
@@ -300,6 +428,53 @@ def mart_rfm_segments(spark: SparkSession, folder: str) -> DataFrame:
     return plain(mart)
 
 
+def _kept_states(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Mart states that began with other facts: a third of the orders on another day with thrice the goods,
+    a fifth missing, and of a quarter some lines missing.
+
+    The present facts come as a difference for the orders that changed, as a batch brings them.
+    """
+    items = settle(sample.star_margins(spark, folder).select(*batch.ITEM_MEASURES))
+    orders = settle(sample.star_orders(spark, folder).select("order_id", "customer_id", "date_id"))
+    changed, absent, partly = (F.col("order_id") % n == 0 for n in (3, 5, 4))
+    old_orders = orders.where(~absent).withColumn("date_id", F.when(changed, F.lit(19950615)).otherwise(F.col("date_id")))
+    old_items = items.where(~absent).withColumn("qty", F.when(changed, F.col("qty") * 3).otherwise(F.col("qty")).cast("decimal(14,3)"))
+    old_items = old_items.where(~(partly & (F.col("product_id") % 7 == 0)))
+    states = {}
+    before = kept_marts.contributions(old_items, old_orders)
+    touched = changed | absent | partly
+    now = kept_marts.contributions(items.where(touched), orders.where(touched))
+    then = kept_marts.contributions(old_items.where(touched), old_orders.where(touched))
+    for name in kept_marts.STATES:
+        stored = before[name].unionByName(kept_marts.difference(name, now[name], then[name]))
+        states[name] = kept_marts.current(name, settle(stored))
+    return states
+
+
+def kept_daily_sales(spark: SparkSession, folder: str) -> DataFrame:
+    mart = kept_marts.daily_sales(_kept_states(spark, folder)["sales_by_day"], sample.star_dates(spark, folder))
+    return plain(mart.withColumn("avg_line_value", F.round("avg_line_value", 6)))
+
+
+def kept_top_parts(spark: SparkSession, folder: str) -> DataFrame:
+    return plain(kept_marts.top_parts(_kept_states(spark, folder)["sales_by_product"], sample.star_products(spark, folder)))
+
+
+def kept_margin_by_category(spark: SparkSession, folder: str) -> DataFrame:
+    states = _kept_states(spark, folder)
+    return plain(kept_marts.margin_by_category(states["sales_by_product"], sample.star_products(spark, folder)))
+
+
+def kept_cohort_retention(spark: SparkSession, folder: str) -> DataFrame:
+    states = _kept_states(spark, folder)
+    return plain(kept_marts.cohort_retention(states["customer_days"], sample.star_dates(spark, folder)))
+
+
+def kept_rfm_segments(spark: SparkSession, folder: str) -> DataFrame:
+    days, calendar = _kept_states(spark, folder)["customer_days"], sample.star_dates(spark, folder)
+    return plain(kept_marts.rfm_segments(sample.star_customers(spark, folder), days, calendar, AS_OF))
+
+
 # Quality. The sample tables are clean, so faults are put in by condition.
 
 
@@ -372,6 +547,61 @@ def contract_checks_staging(spark: SparkSession, folder: str) -> DataFrame:
     return quality.contract_checks(STG, cleaned)
 
 
+def gate_delta_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """What the gate finds in a run that wrote the orders from 1998 on, with holes, over batches of 1997 and 1998.
+
+    1998 is also in a batch that the run left alone; 1997 was in a batch that it replaced, and is gone.
+    """
+    orders = _faulty_orders(spark, folder).withColumn("channel_id", F.substring("channel_name", 1, 1).cast("bigint"))
+    sound = sample.star_orders(spark, folder).withColumn("channel_id", F.lit(1).cast("bigint"))
+    years = sample.star_orders(spark, folder).select("order_id", F.floor(F.col("date_id") / 10000).alias("year"))
+    written = orders.join(years, "order_id").where("year >= 1998").drop("year")
+    untouched = sound.join(years, "order_id").where("year = 1998").drop("year")
+    replaced = sound.join(years, "order_id").where("year between 1997 and 1998").drop("year")
+    after = {
+        "dim_customer": sample.star_customers(spark, folder).where("segment != 'building'"),
+        "dim_date": sample.star_dates(spark, folder),
+        "dim_channel": spark.range(2, 6).select(F.col("id").alias("channel_id")),
+    }
+    return quality.delta_checks(DWH, {"fact_orders": quality.Change(written, untouched, replaced)}, after)
+
+
+def quarantine_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines delivered with bad cells: what is set aside, by column and reason."""
+    landed = sample.landed_order_items(spark, folder)
+    odd = F.expr("cast(order_id as bigint) % 100")
+    broken = landed.withColumns(
+        {
+            "qty": F.when(odd == 1, F.concat("qty", F.lit(" pcs"))).otherwise(F.col("qty")),
+            "unit_price_net": F.when(odd == 2, F.concat(F.lit("99999999999999"), F.coalesce("unit_price_net", F.lit("0")))).otherwise(
+                F.col("unit_price_net")
+            ),
+            "tax_amount": F.when(odd.isin(1, 3), F.lit("n/a")).otherwise(F.col("tax_amount")),
+            "line_no": F.when(odd == 4, F.concat("line_no", F.lit(".0"))).when(odd == 5, F.lit("3000000000")).otherwise(F.col("line_no")),
+        }
+    )
+    flagged = quarantine.with_errors(broken, "order_items")
+    return quarantine.counts(quarantine.set_aside(flagged, "order_items"))
+
+
+def reconcile_layers(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines by month of shipping against a copy that lost some, doubled some and changed some: told by month."""
+    lines = sample.read(spark, folder, "lineitem").select(
+        F.date_format("l_shipdate", "yyyy-MM").alias("month"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line"),
+        F.col("l_quantity").cast("decimal(14,3)").alias("qty"),
+        F.col("l_extendedprice").cast("decimal(14,2)").alias("price"),
+        F.col("l_returnflag").alias("flag"),
+    )
+    month = F.substring("month", 6, 2)
+    copy = lines.where(~((month == "02") & (F.col("flag") == "R")))
+    copy = copy.withColumn("price", F.when((month == "05") & (F.col("flag") == "N"), F.col("price") + 1).otherwise(F.col("price")))
+    copy = copy.unionByName(lines.where((month == "09") & (F.col("flag") == "A")))
+    columns = ["line", "qty", "price", "flag"]
+    found = reconcile.differences(*(reconcile.checksums(df, "month", columns) for df in (lines, copy)))
+    return reconcile.located(found).withColumnRenamed("batch", "month")
+
+
 def quality_report(spark: SparkSession, folder: str) -> DataFrame:
     """All four checks over the sample star as one report."""
     return quality.run_checks(
@@ -407,13 +637,8 @@ def latest_event_by_user(spark: SparkSession, folder: str) -> DataFrame:
     return newest.select("user_id", "event_id", "event_type", "value")
 
 
-def batch_daily_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Two daily batches run from CSV to the stored star, then daily sales from it.
-
-    Orders and lines up to 1998 come first; the second batch sends 1998 again and more.
-    """
-    warehouse = Warehouse(spark, scratch_dir(spark))
-    landing_root = scratch_dir(spark)
+def _deliver_batches(spark: SparkSession, folder: str, landing_root: str, days: list[str]) -> None:
+    """Two daily deliveries of all four files: orders and lines up to 1998, then 1998 again and more."""
     orders = sample.landed_orders(spark, folder)
     items = sample.landed_order_items(spark, folder)
     when_ordered, when_shipped = F.col("order_created_at"), F.col("source_updated_at")
@@ -421,7 +646,8 @@ def batch_daily_sales(spark: SparkSession, folder: str) -> DataFrame:
         "2001-12-30": (when_ordered < "1999-01-01", when_shipped < "1999-01-01"),
         "2001-12-31": (when_ordered >= "1998-01-01", when_shipped >= "1998-01-01"),
     }
-    for day, (ordered, shipped) in slices.items():
+    for day in days:
+        ordered, shipped = slices[day]
         deliveries = {
             "customers.csv": sample.landed_customers(spark, folder),
             "products.csv": sample.landed_products(spark, folder),
@@ -435,11 +661,40 @@ def batch_daily_sales(spark: SparkSession, folder: str) -> DataFrame:
                 for name, rows in deliveries.items()
             ]
         )
+
+
+BATCH_DAYS = ["2001-12-30", "2001-12-31"]
+
+
+def batch_daily_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Two daily batches run from CSV to the stored star, then daily sales from it."""
+    warehouse = Warehouse(spark, scratch_dir(spark))
+    landing_root = scratch_dir(spark)
+    for day in BATCH_DAYS:
+        _deliver_batches(spark, folder, landing_root, [day])
         batch.run_batch(spark, warehouse.root, landing_root, day, AS_OF)
     mart = marts.all_marts(warehouse.star(), AS_OF)["daily_sales"]
     return plain(mart.withColumn("avg_line_value", F.round("avg_line_value", 6)))
 
 
+def stream_daily_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """The same deliveries as a stream of dated folders, with kept marts: daily sales from their states.
+
+    Each day is marked complete and streamed; then a new stream sees both days again, and changes nothing.
+    """
+    warehouse = Warehouse(spark, scratch_dir(spark))
+    landing_root, checkpoint = scratch_dir(spark), scratch_dir(spark)
+    extras = batch.Extras(kept_marts=True)
+    for day in BATCH_DAYS:
+        _deliver_batches(spark, folder, landing_root, [day])
+        landing_stream.mark_complete(spark, landing_root, day)
+        landing_stream.stream_batches(spark, warehouse.root, landing_root, checkpoint, AS_OF, extras=extras).awaitTermination()
+    landing_stream.stream_batches(spark, warehouse.root, landing_root, scratch_dir(spark), AS_OF, extras=extras).awaitTermination()
+    star, states = warehouse.star(), warehouse.mart_states()
+    mart = kept_marts.all_marts(states, star, AS_OF)["daily_sales"]
+    return plain(mart.withColumn("avg_line_value", F.round("avg_line_value", 6)))
+
+
 _QUERIES: dict[str, Query] = {
     "raw_csv_ingest": raw_csv_ingest,
     "raw_append_batches": raw_append_batches,
@@ -455,6 +710,12 @@ _QUERIES: dict[str, Query] = {
     "dim_product_upsert": dim_product_upsert,
     "fact_orders_upsert": fact_orders_upsert,
     "fact_order_items_upsert": fact_order_items_upsert,
+    "dim_customer_history": dim_customer_history,
+    "dim_customer_as_of": dim_customer_as_of,
+    "fact_margin_asof": fact_margin_asof,
+    "bridge_product_compatibility": bridge_product_compatibility,
+    "bridge_product_gaps": bridge_product_gaps,
+    "fact_orders_replayed": fact_orders_replayed,
     "mart_daily_sales": mart_daily_sales,
     "mart_top_parts": mart_top_parts,
     "mart_top_parts_k": partial(mart_top_parts, k=TOP_K),
@@ -462,6 +723,11 @@ _QUERIES: dict[str, Query] = {
     "mart_cohort_retention": mart_cohort_retention,
     "mart_cohort_retention_full": partial(mart_cohort_retention, full_offset=True),
     "mart_rfm_segments": mart_rfm_segments,
+    "kept_daily_sales": kept_daily_sales,
+    "kept_top_parts": kept_top_parts,
+    "kept_margin_by_category": kept_margin_by_category,
+    "kept_cohort_retention": kept_cohort_retention,
+    "kept_rfm_segments": kept_rfm_segments,
     "dq_fact_orders_null_fk": dq_fact_orders_null_fk,
     "dq_fact_order_items_missing_fk": dq_fact_order_items_missing_fk,
     "dq_fact_orders_duplicates": dq_fact_orders_duplicates,
@@ -469,9 +735,13 @@ _QUERIES: dict[str, Query] = {
     "quality_report": quality_report,
     "contract_checks": contract_checks,
     "contract_checks_staging": contract_checks_staging,
+    "gate_delta_checks": gate_delta_checks,
+    "quarantine_counts": quarantine_counts,
+    "reconcile_layers": reconcile_layers,
     "run_audit_latest": run_audit_latest,
     "latest_event_by_user": latest_event_by_user,
     "batch_daily_sales": batch_daily_sales,
+    "stream_daily_sales": stream_daily_sales,
 }
 
 

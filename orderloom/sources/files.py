@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
 
@@ -29,6 +31,14 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(target, True).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file."""
+    fs, target = _open(spark, path)
+    out = fs.create(target, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)
@@ -37,3 +47,18 @@ def remove(spark: SparkSession, path: str) -> None:
 def make_dirs(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.mkdirs(target)
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Sizes and times of the file at ``path``, or of the files below it by name, as one digest."""
+    fs, target = _open(spark, path)
+    root, found = fs.makeQualified(target).toString(), []
+    folders = [target]
+    while folders:
+        for status in fs.listStatus(folders.pop()):
+            if status.isDirectory():
+                folders.append(status.getPath())
+            else:
+                name = status.getPath().toString().removeprefix(root)
+                found.append(f"{name} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(found)).encode()).hexdigest()

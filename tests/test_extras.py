@@ -1,0 +1,225 @@
+"""What a run keeps beside the star: gate, histories, bridge, rejects, mart states."""
+
+from __future__ import annotations
+
+import random
+import shutil
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from landing_fixture import customer, deliver, item, order, product
+from orderloom.operators import kept_marts, marts, quality
+from orderloom.plans.batch import Extras, publish_marts, run_batch
+from orderloom.plans.warehouse import Warehouse
+from orderloom.schemas import DWH
+
+DAY1, DAY2, DAY3 = "2026-01-01", "2026-01-02", "2026-01-03"
+AS_OF = date(2026, 6, 1)
+ALL = Extras(history=True, compatibility=True, kept_marts=True, replay_rejects=True, cost_on_order_date=True)
+
+
+def rows(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def same_marts(warehouse):
+    """The marts from the kept states equal those computed from all facts."""
+    star = warehouse.star()
+    kept = kept_marts.all_marts(warehouse.mart_states(), star, AS_OF)
+    whole = marts.all_marts(star, AS_OF)
+    for name, mart in whole.items():
+        assert kept[name].columns == mart.columns
+        assert sorted(map(repr, kept[name].collect())) == sorted(map(repr, mart.collect())), name
+
+
+@pytest.fixture(scope="module")
+def day_one(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("extras")
+    deliver(
+        root / "landing",
+        DAY1,
+        customers=[customer("C1"), customer("C2")],
+        products=[product("S1"), product("S2", cost="30.00")],
+        orders=[order("O1", "C1"), order("O2", "C2"), order("O3", "C9")],
+        order_items=[item("I1", "O1", "S1"), item("I2", "O2", "S2"), item("I3", "O3", "S1"), item("I4", "O1", "S9"), item("I5", "O8", "S9")],
+    )
+    run_batch(spark, str(root / "warehouse"), str(root / "landing"), DAY1, extras=ALL)
+    return root
+
+
+@pytest.fixture()
+def loaded(day_one, tmp_path):
+    shutil.copytree(day_one, tmp_path, dirs_exist_ok=True)
+    return str(tmp_path / "warehouse"), str(tmp_path / "landing")
+
+
+def test_rejects_are_stored_with_their_reason(spark, loaded):
+    warehouse = Warehouse(spark, loaded[0])
+    assert rows(warehouse.table("rejected_orders"), "order_id", "reason", "tries") == [("O3", "unknown customer", 1)]
+    assert rows(warehouse.table("rejected_order_items"), "order_item_id", "reason") == [
+        ("I3", "unknown order"),
+        ("I4", "unknown part"),
+        ("I5", "unknown order, unknown part"),
+    ]
+
+
+def test_rejects_are_loaded_when_their_partners_arrive(spark, loaded):
+    root, landing = loaded
+    deliver(landing, DAY2, customers=[customer("C9")], products=[product("S9", cost="5.00")], orders=[order("O4", "C1", created="2026-01-02 08:00:00")])
+    result = run_batch(spark, root, landing, DAY2)
+    warehouse = Warehouse(spark, root)
+    star = warehouse.star()
+    assert rows(star["fact_orders"], "order_nk") == [("O1",), ("O2",), ("O3",), ("O4",)]
+    assert rows(star["fact_order_items"], "order_item_nk") == [("I1",), ("I2",), ("I3",), ("I4",)]
+    assert result.loaded == {"fact_orders": 2, "fact_order_items": 2} and result.rejected == {"orders": 0, "order_items": 1}
+    assert rows(warehouse.table("rejected_order_items"), "order_item_id", "reason", "tries") == [("I5", "unknown order", 2)]
+    assert warehouse.table("rejected_orders").count() == 0
+    same_marts(warehouse)
+    # Once more, with nothing new: nothing is loaded twice.
+    deliver(landing, DAY3)
+    run_batch(spark, root, landing, DAY3)
+    assert rows(warehouse.star()["fact_order_items"], "order_item_nk") == [("I1",), ("I2",), ("I3",), ("I4",)]
+    assert rows(warehouse.table("rejected_order_items"), "order_item_id", "tries") == [("I5", 3)]
+
+
+def test_what_is_sent_again_replaces_its_reject(spark, loaded):
+    root, landing = loaded
+    deliver(landing, DAY2, customers=[customer("C9")], orders=[order("O3", "C1", status="new")])
+    run_batch(spark, root, landing, DAY2)
+    facts = Warehouse(spark, root).star()["fact_orders"].where("order_nk = 'O3'")
+    assert rows(facts, "order_status") == [("new",)]
+
+
+def test_histories_and_bridge_follow_the_batches(spark, loaded):
+    root, landing = loaded
+    late = "2025-12-15"
+    deliver(landing, DAY3, customers=[customer("C1", segment="vip")], products=[product("S1", cost="12.00")])
+    deliver(landing, late, customers=[customer("C1", segment="old")], products=[product("S1", cost="8.00")])
+    run_batch(spark, root, landing, DAY3)
+    run_batch(spark, root, landing, late)
+    warehouse = Warehouse(spark, root)
+    customers = warehouse.table("dim_customer_history").where("customer_nk = 'C1'")
+    assert rows(customers, "valid_from", "valid_to", "segment") == [
+        (date(2025, 12, 15), date(2026, 1, 1), "old"),
+        (date(2026, 1, 1), date(2026, 1, 3), "detal"),
+        (date(2026, 1, 3), None, "vip"),
+    ]
+    assert customers.select("customer_version_id").distinct().count() == 3
+    costs = warehouse.table("dim_product_history").where("part_sku = 'S1'")
+    assert rows(costs, "valid_from", "cost_net") == [(date(2025, 12, 15), Decimal("8.00")), (date(2026, 1, 1), Decimal("10.00")), (date(2026, 1, 3), Decimal("12.00"))]
+    assert rows(warehouse.table("bridge_product_compatibility"), "part_sku", "make", "model", "year_from", "year_to") == [
+        ("S1", "vw", "golf", 2001, None), ("S2", "vw", "golf", 2001, None),
+    ]
+    # A line of an old order takes the cost of the order's day; one from before any version the present cost.
+    deliver(
+        landing, "2026-01-04",
+        orders=[order("O20", "C1", created="2025-12-20 09:00:00"), order("O21", "C1", created="2026-01-03 09:00:00"), order("O22", "C1", created="2020-01-01 09:00:00")],
+        order_items=[item("I20", "O20", "S1"), item("I21", "O21", "S1"), item("I22", "O22", "S1")],
+    )
+    run_batch(spark, root, landing, "2026-01-04", extras=ALL)
+    lines = Warehouse(spark, root).star()["fact_order_items"].where("order_item_nk like 'I2_'")
+    present = Decimal("8.00")  # the batch processed last was the late one
+    assert rows(lines, "order_item_nk", "margin_amount") == [
+        ("I20", Decimal("84.00")), ("I21", Decimal("76.00")), ("I22", 100 - 2 * present),
+    ]
+
+
+def test_kept_marts_equal_the_full_ones_after_any_batches(spark, loaded):
+    root, landing = loaded
+    rng = random.Random(4)
+    known = {f"O{i}" for i in range(1, 9)}
+    for n in range(3):
+        day = f"2026-02-0{n + 1}"
+        orders = [
+            order(o, rng.choice(["C1", "C2", "C9"]), created=f"2026-0{rng.randrange(1, 4)}-1{rng.randrange(9)} 09:00:00")
+            for o in rng.sample(sorted(known), 4)
+        ]
+        items = [
+            item(f"I{rng.randrange(1, 15)}-{k}", rng.choice(sorted(known)), rng.choice(["S1", "S2"]), qty=str(rng.randrange(1, 5)), net=rng.choice(["10.00", "0", "", "-5.00"]))
+            for k in range(5)
+        ]
+        deliver(landing, day, customers=[customer("C9")] if n == 2 else [], products=[product("S2", category="Oleje")] if n == 1 else [], orders=orders, order_items=items)
+        run_batch(spark, root, landing, day)
+        same_marts(Warehouse(spark, root))
+    published = publish_marts(Warehouse(spark, root), AS_OF)
+    read = " ".join(published["daily_sales"].inputFiles())
+    assert "/sales_by_day/" in read and "/fact_order" not in read
+
+
+def test_states_begin_with_all_facts_and_are_folded(spark, loaded, tmp_path):
+    root, landing = loaded
+    plain = str(tmp_path / "plain")
+    run_batch(spark, plain, landing, DAY1)
+    assert not Warehouse(spark, plain).snapshot().folders.get("sales_by_day")
+    deliver(landing, DAY2, orders=[order("O2", "C1")])
+    run_batch(spark, plain, landing, DAY2, extras=Extras(kept_marts=True))
+    warehouse = Warehouse(spark, plain, merge_folders=1)
+    same_marts(warehouse)
+    before = warehouse.snapshot()
+    one = warehouse.table("customer_days").limit(1)
+    after = before.copy()
+    warehouse.add_to_state("customer_days", one, after, 7)
+    assert after.folders["customer_days"] == ["dwh/customer_days/run=7"]
+
+
+def test_gate_refuses_a_broken_run(spark, loaded, monkeypatch):
+    """A load that loses the customers' ids: the star stays, the log names the rules."""
+    root, landing = loaded
+    warehouse = Warehouse(spark, root)
+    before = rows(warehouse.star()["fact_orders"], "order_nk", "updated_at")
+    deliver(landing, DAY2, customers=[customer("C3")], orders=[order("O5", "C3"), order("O1", "C2")])
+    from orderloom.operators import facts
+
+    sound = facts.fact_orders
+
+    def broken(*frames):
+        return sound(*frames).withColumn("customer_id", F.when(F.col("order_nk") == "O5", F.lit(-1)).cast("bigint")).unionByName(
+            sound(*frames).where("order_nk = 'O5'").withColumn("order_nk", F.lit("O6"))
+        )
+
+    monkeypatch.setattr(facts, "fact_orders", broken)
+    with pytest.raises(quality.ContractBreach) as error:
+        run_batch(spark, root, landing, DAY2)
+    found = {(table, rule, column): n for table, rule, column, n in error.value.breaches}
+    assert found[("fact_orders", "references", "customer_id")] == 1
+    assert found[("fact_orders", "not_null", "customer_id")] >= 1
+    assert rows(warehouse.star()["fact_orders"], "order_nk", "updated_at") == before
+    logged = warehouse.run_log().orderBy(F.desc("run_id")).first()
+    assert logged.status == "FAILED" and "fact_orders references(customer_id): 1" in logged.error_message
+    monkeypatch.undo()
+    run_batch(spark, root, landing, DAY2)
+    assert "O5" in {r[0] for r in rows(warehouse.star()["fact_orders"], "order_nk")}
+
+
+def test_gate_can_be_left_out(spark, loaded, monkeypatch):
+    root, landing = loaded
+    deliver(landing, DAY2, orders=[order("O5", "C1")])
+    monkeypatch.setattr(quality, "require_promises", lambda checks: pytest.fail("asked"))
+    run_batch(spark, root, landing, DAY2, extras=Extras(gate=False))
+
+
+CHANGE = "order_id bigint, order_nk string, customer_id bigint, date_id bigint, channel_id bigint"
+
+
+def test_delta_checks_count_each_rule(spark):
+    def frame(*found):
+        return spark.createDataFrame(list(found), CHANGE)
+
+    written = frame((1, "a", 1, 1, None), (1, "b", 9, 1, 1), (3, "a", None, 1, 7), (4, None, 1, 1, 1))
+    untouched = frame((4, "z", 1, 1, 1), (5, "b", 1, 1, 1), (6, None, 1, 1, 1))
+    replaced = frame((1, "a", 1, 1, 1), (8, "q", 1, 1, 1))
+    after = {
+        "dim_customer": spark.createDataFrame([(1,)], "customer_id bigint"),
+        "dim_date": spark.createDataFrame([(1,)], "date_id bigint"),
+        "dim_channel": spark.createDataFrame([(1,)], "channel_id bigint"),
+    }
+    checks = quality.delta_checks(DWH, {"fact_orders": quality.Change(written, untouched, replaced)}, after)
+    bad = {(r.rule, r.column_name): r.bad_rows for r in checks.collect() if r.bad_rows}
+    assert bad == {
+        ("not_null", "order_nk"): 1, ("not_null", "customer_id"): 1, ("unique", "order_nk"): 1, ("primary_key", "order_id"): 1,
+        ("unique_over_batches", "order_nk"): 2, ("primary_key_over_batches", "order_id"): 1, ("kept", "order_id"): 1,
+        ("references", "customer_id"): 1, ("references", "channel_id"): 1,
+    }
