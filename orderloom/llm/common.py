@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +21,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Of what workers get at a time, so that long texts do not add up.
 BATCH_BYTES = 16 << 20
+#: Of the text that a worker takes apart at a time: words as objects take ten times their bytes.
+SLICE_BYTES = 1 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def bounded(spark: SparkSession) -> SparkSession:
+    """The required settings, and the bound on what workers get at a time."""
     configure(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return bounded(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def sliced(batch: pa.RecordBatch, text_at: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in order, in slices of about ``most`` bytes of text; a longer text is a slice by itself."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    slices = (np.cumsum(sizes) - sizes) // most
+    edges = [0, *(np.flatnonzero(np.diff(slices)) + 1).tolist(), len(sizes)]
+    for start, stop in zip(edges[:-1], edges[1:], strict=True):
+        if stop > start:
+            yield batch.slice(start, stop - start)
 
 
 def whole(text: str | Column) -> Column:

@@ -1,8 +1,9 @@
 """Exact duplicates by progressive refinement: length, then prefix hash, then full hash.
 
 Only columns and joins: no Python touches a row. Each step keeps the rows whose key is
-held by more than one row, so whole texts are hashed only where length and prefix agree
-with another row. The keys of a step are settled first: the planner then knows their size
+held by more than one row, so the classes of equal texts are counted from whole hashes of those
+rows only whose length and prefix agree with another row. Marking the rows of a table by their
+class is a join on the whole hash, which takes one of every row. The keys of a step are settled first: the planner then knows their size
 and decides by it whether they travel to the rows or are joined by shuffle. Counting keys
 aggregates before it shuffles, so a group of any size crosses as one row per task.
 

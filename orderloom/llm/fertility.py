@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from orderloom.llm.common import WORD, quoted, without
+from orderloom.llm.common import WORD, quoted, sliced, without
 from orderloom.llm.pieces import model_of
 
 WORDS = re.compile(WORD)
@@ -229,7 +229,7 @@ def assess(
 
     def run(batches):
         model = model_of(blob.value)
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in sliced(whole_batch, text_at)):
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
             langs = [None] * len(texts) if lang_at is None else batch.column(lang_at).to_pylist()
             rows = list(measure(model, texts, langs, languages, scripts))

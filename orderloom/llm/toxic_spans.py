@@ -30,7 +30,6 @@ from orderloom.session import settle
 
 TOKEN = re.compile(WORD)
 TRIM = ".,;:!?\"'()[]{}*#$%&|<>-_~`"
-FEATURES = 1 << 18
 BEGINNINGS, ENDINGS = (3, 4, 5, 6), (3,)
 MOST_EMISSION = 30.0
 CACHE_WORDS = 500_000
@@ -49,18 +48,21 @@ class Sample:
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of hashed features for the toxic state, log transitions, and the document fit."""
+    """Weights of features for the toxic state, log transitions, and the document fit.
 
-    weights: np.ndarray
+    Features are known by name, those of the sample's windows and no others: a word never seen
+    says nothing but by the beginning or ending it shares with one.
+    """
+
+    weights: dict[str, float]
     transitions: np.ndarray
     document: tuple[float, float, float] = (0.0, 1.0, 0.0)
 
 
-def features_of(word: str) -> list[int]:
-    """Hashed features of one token, case and surrounding marks aside."""
+def features_of(word: str) -> list[str]:
+    """Features of one token, case and surrounding marks aside."""
     word = word.lower().strip(TRIM)
-    names = [f"w{word}", *(f"b{word[:n]}" for n in BEGINNINGS if len(word) >= n), *(f"e{word[-n:]}" for n in ENDINGS if len(word) >= n)]
-    return [zlib.crc32(n.encode()) % FEATURES for n in names]
+    return [f"w{word}", *(f"b{word[:n]}" for n in BEGINNINGS if len(word) >= n), *(f"e{word[-n:]}" for n in ENDINGS if len(word) >= n)]
 
 
 # Forward and backward over many chains at once
@@ -117,9 +119,10 @@ def _passes(emissions: np.ndarray, sizes: np.ndarray, transitions: np.ndarray):
     return alpha, beta, (starts, lengths)
 
 
-def train_chain(features: list[list[int]], marks: np.ndarray, sizes: np.ndarray, steps: int, l2: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+def train_chain(features: list[list[str]], marks: np.ndarray, sizes: np.ndarray, steps: int, l2: float = 1e-3) -> tuple[dict[str, float], np.ndarray]:
     """Weights and transitions by gradient ascent on the conditional likelihood (Adagrad)."""
-    used, inverse = np.unique(np.fromiter((f for fs in features for f in fs), np.int64), return_inverse=True)
+    used: dict[str, int] = {}
+    inverse = np.fromiter((used.setdefault(f, len(used)) for fs in features for f in fs), np.int64)
     counts = np.fromiter(map(len, features), np.int64, len(features))
     token = np.repeat(np.arange(len(features)), counts)
     weights, transitions = np.zeros(len(used)), np.zeros((2, 2))
@@ -145,9 +148,7 @@ def train_chain(features: list[list[int]], marks: np.ndarray, sizes: np.ndarray,
         grown_t += gradient_t**2
         weights += 0.5 * gradient / np.sqrt(grown)
         transitions += 0.1 * gradient_t / np.sqrt(grown_t)
-    full = np.zeros(FEATURES)
-    full[used] = weights
-    return full, transitions
+    return dict(zip(used, weights.tolist(), strict=True)), transitions
 
 
 def fit_document(largest: np.ndarray, total: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
@@ -178,7 +179,8 @@ class Scorer:
         if value is None:
             if len(self.cache) > CACHE_WORDS:
                 self.cache.clear()
-            value = self.cache[word] = float(self.model.weights[features_of(word)].sum())
+            known = self.model.weights
+            value = self.cache[word] = sum(known.get(f, 0.0) for f in features_of(word))
         return value
 
     def tokens(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +217,10 @@ def _spans(text: str, likely: np.ndarray) -> list[tuple[int, int]]:
     before = False
     for m, p in zip(TOKEN.finditer(text), likely, strict=True):
         if p >= 0.5:
-            found = [*found[:-1], (found[-1][0], m.end())] if before else [*found, m.span()]
+            if before:
+                found[-1] = (found[-1][0], m.end())
+            else:
+                found.append(m.span())
         before = p >= 0.5
     return found
 
@@ -252,6 +257,7 @@ def _marking(rows: DataFrame) -> tuple[set[str], set[str]]:
                 toxic += [kind] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(toxic, pa.int32())], names=["name", "toxic"])
 
+    # One toxic row in a hundred holds a mark at least, and four: fewer may be chance.
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     positive, negative = sizes.get(1, 0), sizes.get(0, 0)
     least = max(4, math.ceil(0.01 * positive))
@@ -267,7 +273,10 @@ def _marking(rows: DataFrame) -> tuple[set[str], set[str]]:
 
 
 def _windows(rows: DataFrame, words: set[str], beginnings: set[str], sample: Sample) -> list[tuple[list[str], list[int]]]:
-    """(tokens, marks) of up to ``sample.windows`` windows a row: around marks, or spread over clean text."""
+    """(tokens, marks) of up to ``sample.windows`` windows a row: around marks, or spread over clean text.
+
+    A toxic row without a mark says nothing: its tokens would count as clean.
+    """
     radius = sample.radius
 
     def cut(batches):
@@ -277,6 +286,8 @@ def _windows(rows: DataFrame, words: set[str], beginnings: set[str], sample: Sam
                 own = TOKEN.findall(text)
                 plain = [w.lower().strip(TRIM) for w in own]
                 hit = [int(w in words or any(w[:n] in beginnings for n in BEGINNINGS if len(w) > n)) for w in plain]
+                if kind and not any(hit):
+                    continue
                 centres = [i for i, h in enumerate(hit) if h][:: max(1, sum(hit) // sample.windows)] if kind else []
                 centres = centres[: sample.windows - 1] + [len(own) // 2, zlib.crc32(text.encode()) % max(1, len(own))]
                 for c in centres[: sample.windows]:
@@ -301,10 +312,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), id_col: s
     rows = _labelled(docs, labels, sample, id_col, text_col)
     words, beginnings = _marking(rows)
     windows = _windows(rows, words, beginnings, sample)
-    nothing = Model(np.zeros(FEATURES), np.zeros((2, 2)), (-30.0, 0.0, 0.0))
+    nothing = Model({}, np.zeros((2, 2)), (-30.0, 0.0, 0.0))
     if not any(1 in marks for _, marks in windows) or not any(1 not in marks for _, marks in windows):
         return nothing
-    known: dict[str, list[int]] = {}
+    known: dict[str, list[str]] = {}
     features = [known.get(t) or known.setdefault(t, features_of(t)) for tokens, _ in windows for t in tokens]
     marks = np.fromiter((m for _, ms in windows for m in ms), np.int64)
     sizes = np.fromiter((len(ms) for _, ms in windows), np.int64, len(windows))
