@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import chosen_path, exact_dedup, fertility, packing, repeats
-from orderloom.llm.common import table
+from orderloom.llm.common import bounded, table
 from orderloom.session import settle
 
 PIECES = "piece_bpe_32k.model"
@@ -24,23 +24,33 @@ BYTES = "byte_bpe_50k.json"
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents inside the bands of the fertility rules; a NULL text fails them. Columns as they came."""
+    bounded(spark)
     return fertility.keep_good(docs, public_tokenizers.path(PIECES))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (A-Z as a-z, NULL as empty) the row of the largest id; of repeated rows one."""
+    bounded(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies; texts without a shingle are near to none and stay."""
+    bounded(spark)
     return chosen_path.keep_one(docs)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, less the bytes of 400-byte strings that start elsewhere too; ``n_chars`` follows the text."""
+    bounded(spark)
     left = repeats.remove_repeats(docs, replace_text=True)
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per token piece with its sequence and place; a NULL or empty text is its end token alone."""
+    bounded(spark)
     return packing.pack(packing.token_pieces(docs, public_tokenizers.path(BYTES)))
 
 
