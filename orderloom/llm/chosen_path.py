@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import WORD, quoted, whole, without
+from orderloom.llm.common import WORD, quoted, shielded, whole, without
 from orderloom.llm.components import components
 from orderloom.session import settle
 
@@ -453,8 +453,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of every class, the one of the smallest id; rows without words all stay.
 
-    Of rows that repeat the smallest id one stays.
+    Of rows that repeat the smallest id one stays. Columns come back as they are, those named
+    like a working column too. No rows give no rows.
     """
+    docs, back = shielded(docs, "_own_key", "_id", "_key")
     rows, linked = classes(docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")))
     classed = rows.where("set_id is not null").join(linked, "set_id", "left")
     stays = classed.groupBy(F.coalesce("label", "set_id").alias("label")).agg(
@@ -465,4 +467,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     wordless = keyed.where(~text.rlike(WORD)).drop("_own_key")
     match = F.col("_own_key").eqNullSafe(F.col("_key")) & quoted(id_col).eqNullSafe(F.col("_id"))
     kept = keyed.where(text.rlike(WORD)).join(settle(stays), match, "left_semi").dropDuplicates([id_col, "_own_key"])
-    return kept.drop("_own_key").unionByName(wordless)
+    return kept.drop("_own_key").unionByName(wordless).withColumnsRenamed(back)

@@ -66,6 +66,13 @@ def without(df: DataFrame, *names: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def shielded(df: DataFrame, *reserved: str) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with columns named like an operator's own working columns renamed, and how to name them back."""
+    taken = {n.lower() for n in reserved}
+    away = {c: f"{c} (input)" for c in df.columns if c.lower() in taken}
+    return df.withColumnsRenamed(away), {v: k for k, v in away.items()}
+
+
 def quoted(name: str) -> Column:
     """The column of exactly this name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")

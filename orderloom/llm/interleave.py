@@ -17,12 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import bits_for, quoted, whole
+from orderloom.llm.common import bits_for, quoted, shielded, whole
 from orderloom.session import settle
 
 ROWS_PER_BUCKET = 1_000
 #: Beyond this many buckets each takes more rows: one task sums over all of them.
 MOST_BUCKET_BITS = 20
+WORKING = ("_stratum", "_u", "_bucket", "_size", "_rank", "_fraction", "_slice", "_position", "_shard", "before", "n")
 
 
 def _stratum(column: Column) -> Column:
@@ -48,9 +49,13 @@ def interleave(
     """Adds ``shard`` (int) and ``slot`` (long, gapless from 0 in a shard) to every row.
 
     ``order_cols`` make the order repeatable: rows that agree in all of them are
-    interchangeable. Input columns named ``shard`` or ``slot`` are replaced. NULLs in any
-    column are values like others. No rows give no rows.
+    interchangeable. Input columns named ``shard`` or ``slot`` are replaced, those named like a
+    working column come back as they are. NULLs in any column are values like others. No rows
+    give no rows.
     """
+    rows, back = shielded(rows, *WORKING, *[f"_t{i}" for i in range(len(order_cols))])
+    away = {v: k for k, v in back.items()}
+    order_cols, source_col = [away.get(c, c) for c in order_cols], away.get(source_col, source_col)
     names = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
     ties = [f"_t{i}" for i in range(len(order_cols))]
     seeded = F.xxhash64(F.lit(seed), *[quoted(c) for c in order_cols], quoted(source_col))
@@ -97,6 +102,7 @@ def interleave(
             F.col("_shard").cast("int").alias("shard"),
             (F.col("_position") - first).cast("long").alias("slot"),
         )
+        .withColumnsRenamed(back)
     )
 
 

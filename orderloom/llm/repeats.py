@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import quoted, whole, without
+from orderloom.llm.common import quoted, shielded, whole, without
 from orderloom.session import settle
 
 LENGTH = 400
@@ -472,8 +472,9 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", shape: Shape = Shape
     lose nothing, repeated rows are occurrences of each other. A character that loses some of
     its bytes loses all in the replaced text; the digest is of the bytes. Without
     ``replace_text`` the text column is dropped. Input columns named like a result are
-    replaced. No rows give no rows.
+    replaced, those named like a working column come back as they are. No rows give no rows.
     """
+    docs, back = shielded(docs, "_k1", "_k2", "k1", "k2", "_whole_sha256", "_whole_text", "kept_text")
     text = whole(quoted(text_col))
     keyed = keyed_texts(docs, text_col)
     slim = keyed.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), text.alias("text"))
@@ -494,4 +495,4 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", shape: Shape = Shape
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("kept_sha256", "_whole_sha256").alias("kept_sha256"),
-    )
+    ).withColumnsRenamed(back)

@@ -4,8 +4,9 @@ Labels say which documents are toxic, not where. Words and word beginnings that
 of toxic documents and next to no other document hold mark the tokens; a two-state chain is
 trained on windows around such tokens and on windows of clean text, with words, their
 beginnings and endings as features, so that it also knows forms it has not seen. Its
-forward-backward marginals say how likely each token of a text is toxic. The largest and the
-sum of a document's marginals give its score, by a logistic fit to the documents' labels.
+forward-backward marginals say how likely each token of a text is toxic. The largest of a
+document's marginals and the sum of those of its offending tokens give its score, by a logistic
+fit to the documents' labels.
 
 What is fitted comes from a bounded sample of labelled rows (``Sample``). Scoring reads every
 text whole, a batch of texts side by side, one token of each per step.
@@ -51,7 +52,7 @@ class Model:
     """Weights of features for the toxic state, log transitions, and the document fit.
 
     Features are known by name, those of the sample's windows and no others: a word never seen
-    says nothing but by the beginning or ending it shares with one.
+    says no more than any word does, and what the beginning or ending it shares with one says.
     """
 
     weights: dict[str, float]
@@ -60,9 +61,9 @@ class Model:
 
 
 def features_of(word: str) -> list[str]:
-    """Features of one token, case and surrounding marks aside."""
+    """Features of one token, case and surrounding marks aside; the first, of every token, is what is usual."""
     word = word.lower().strip(TRIM)
-    return [f"w{word}", *(f"b{word[:n]}" for n in BEGINNINGS if len(word) >= n), *(f"e{word[-n:]}" for n in ENDINGS if len(word) >= n)]
+    return ["", f"w{word}", *(f"b{word[:n]}" for n in BEGINNINGS if len(word) >= n), *(f"e{word[-n:]}" for n in ENDINGS if len(word) >= n)]
 
 
 # Forward and backward over many chains at once
@@ -191,14 +192,18 @@ class Scorer:
         return marginals(emissions, sizes, self.model.transitions), sizes
 
     def documents(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, list[list[tuple[int, int]]]]:
-        """Per text: largest marginal, sum of marginals, spans of tokens more likely toxic than not."""
+        """Per text: largest marginal, sum of marginals, spans of tokens more likely toxic than not.
+
+        The sum is over those tokens: thousands of small marginals say no more than one.
+        """
         likely, sizes = self.tokens(texts)
+        offending = np.where(likely >= 0.5, likely, 0.0)
         largest, total = np.zeros(len(texts)), np.zeros(len(texts))
         filled = np.flatnonzero(sizes)
         if len(filled):
             starts = (np.cumsum(sizes) - sizes)[filled]
             largest[filled] = np.maximum.reduceat(likely, starts)
-            total[filled] = np.add.reduceat(likely, starts)
+            total[filled] = np.add.reduceat(offending, starts)
         stops = np.cumsum(sizes)
         spans = [
             _spans(text, likely[stop - size : stop]) if top >= 0.5 else []

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
+import pytest
 import sentencepiece
 
-from orderloom.llm import fertility
+from orderloom.llm import common, fertility
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 WORD = re.compile(r"[^\x20\t-\r]+")
@@ -58,6 +61,77 @@ def test_token_measures_equal_the_library(documents):
     assert r.kept and r.reason == ""
 
 
+def plain_verdict(processor, text, band):
+    """The measures and the verdict from the library's pieces, by the wording of the rules."""
+    ids = processor.encode(text)
+    pieces = [processor.id_to_piece(i) for i in ids]
+    raw = [int(p[3:5], 16) if processor.is_byte(i) else None for i, p in zip(ids, pieces, strict=True)]
+    sizes = []
+    for at, (piece, byte) in enumerate(zip(pieces, raw, strict=True)):
+        following = raw[at + 1] if at + 1 < len(raw) else None
+        more = byte is not None and byte >= 0x80 and following is not None and 0x80 <= following < 0xC0
+        sizes.append(len(piece) if byte is None else int(not more))
+    n = len(ids)
+    blanks = [(p.startswith("▁") or (b is not None and b in b" \t\n\v\f\r")) for p, b in zip(pieces, raw, strict=True)]
+    only_blank = [p.strip("▁") == "" or (b is not None and b in b" \t\n\v\f\r") for p, b in zip(pieces, raw, strict=True)]
+    endings = [i for at, i in enumerate(ids) if not only_blank[at] and (at + 1 == n or blanks[at + 1])]
+
+    def entropy(held):
+        counts = Counter(held)
+        total = len(held)
+        plain = -sum(c / total * math.log2(c / total) for c in counts.values())
+        second = sum(c / total * math.log2(c / total) ** 2 for c in counts.values())
+        return plain + (len(counts) - 1) / (2 * total * math.log(2)), math.sqrt(max(second - plain**2, 0) / total)
+
+    words = WORD.findall(text)
+    chars = sum(map(len, words)) / n
+    spread = math.sqrt(sum((s - sum(sizes) / n) ** 2 for s in sizes) / n) / math.sqrt(n)
+    share = sum(b is not None for b in raw) / n
+    (h, h_error), (e, e_error) = entropy(ids), entropy(endings)
+    good = (
+        chars + spread >= band.least_chars_per_token
+        and chars - spread <= band.most_chars_per_token
+        and share - math.sqrt(share * (1 - share) / n) <= band.most_byte_share
+        and h + h_error >= band.least_entropy
+        and e + e_error >= band.least_ending_entropy
+    )
+    return good, chars, share, h, e
+
+
+def test_verdicts_against_the_library(documents):
+    rng = random.Random(11)
+    processor = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    rows = []
+    for i in range(60):
+        words = prose(rng, rng.randrange(50, 400)).split()
+        for at in range(0, len(words), rng.choice([2, 5, 50])):
+            words[at] = rng.choice([words[at].upper() + "!!", "字" * rng.randrange(1, 5), "%%", words[at], "12", "é\n"])
+        if i % 3 == 0:
+            words = [w.upper() + rng.choice(["!!", "##", "$"]) for w in words]
+        rows.append((i, " ".join(words[: rng.choice([len(words), 60])]), rng.choice(["en", "fr", None])))
+    found = {r.doc_id: r for r in fertility.assess(documents(rows), PATH).collect()}
+    verdicts = Counter()
+    for doc_id, text, lang in rows:
+        band = fertility.band_of(lang, text, fertility.LANGUAGES, fertility.SCRIPTS)
+        good, *measures = plain_verdict(processor, text, band)
+        r = found[doc_id]
+        assert [r.chars_per_token, r.byte_share, r.token_entropy, r.ending_entropy] == pytest.approx(measures)
+        assert r.kept == (good and not base(text)[5])
+        verdicts[r.kept] += 1
+    assert min(verdicts[True], verdicts[False]) > 5
+
+
+def test_slices_change_nothing(documents):
+    rng = random.Random(12)
+    rows = [(i, None if i == 7 else prose(rng, rng.randrange(1, 300)), "en") for i in range(40)]
+    whole = sorted(map(str, fertility.assess(documents(rows), PATH).collect()))
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["id", "text"])
+    parts = list(common.sliced(batch, 1, 700))
+    assert len(parts) > 10 and pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert [p.num_rows for p in common.sliced(batch, 1, 1 << 40)] == [40] and not list(common.sliced(batch.slice(0, 0), 1))
+    assert sorted(map(str, fertility.assess(documents(rows).repartition(1), PATH).collect())) == whole
+
+
 def test_junk_goes_and_prose_stays(documents):
     rng = random.Random(3)
     rows, wanted = [], {}
