@@ -75,6 +75,48 @@ def fact_order_items_as_of(
     return _measured(costed.withColumn("cost_net", F.coalesce("cost_net", "present_cost")))
 
 
+def changed_parts(old_history: DataFrame, new_history: DataFrame) -> DataFrame:
+    """(part_sku) of the parts whose cost on some day differs between two histories.
+
+    A part's versions are one row on either side before they meet.
+    """
+
+    def timeline(versions: DataFrame, name: str) -> DataFrame:
+        steps = F.sort_array(F.collect_list(F.struct("valid_from", "valid_to", "cost_net")))
+        return versions.groupBy("part_sku").agg(steps.alias(name))
+
+    both = timeline(old_history, "old").join(timeline(new_history, "new"), "part_sku", "full_outer")
+    return both.where(~F.col("old").eqNullSafe(F.col("new"))).select("part_sku")
+
+
+def margin_corrections(
+    items: DataFrame, orders: DataFrame, dim_product: DataFrame, old_history: DataFrame, new_history: DataFrame
+) -> DataFrame:
+    """(order_item_nk, margin_amount, batch_date if it is there) of the stored lines whose margin a change of costs moves.
+
+    Only lines of changed parts meet their order and their costs.
+    """
+    parts = changed_parts(old_history, new_history).join(
+        dim_product.select("product_id", "part_sku", F.col("cost_net").alias("present_cost")), "part_sku"
+    )
+    batch = [c for c in ("batch_date",) if c in items.columns]
+    lines = items.select("order_item_nk", "order_id", "product_id", "qty", "unit_price_net", "margin_amount", *batch)
+    dated = lines.join(parts, "product_id").join(orders.select("order_id", order_day(orders).alias("order_day")), "order_id")
+    costed = asof_join(dated, new_history, "part_sku", "order_day", ["cost_net"])
+    now = x.line_margin(F.col("qty"), F.col("unit_price_net"), F.coalesce("cost_net", "present_cost"))
+    moved = costed.withColumn("_now", now).where(~F.col("_now").eqNullSafe(F.col("margin_amount")))
+    return moved.select("order_item_nk", F.col("_now").alias("margin_amount"), *batch)
+
+
+def with_margins(items: DataFrame, corrections: DataFrame) -> DataFrame:
+    """Lines with corrected margins, and ``corrected``: whether there was one."""
+    new = corrections.select("order_item_nk", F.col("margin_amount").alias("_margin"), F.lit(True).alias("_found"))
+    joined = items.join(new, "order_item_nk", "left")
+    margin = F.when(F.col("_found"), F.col("_margin")).otherwise(F.col("margin_amount"))
+    columns = [margin.alias(c) if c == "margin_amount" else F.col(c) for c in items.columns]
+    return joined.select(*columns, F.col("_found").isNotNull().alias("corrected"))
+
+
 def _measured(lines: DataFrame) -> DataFrame:
     qty, net = F.col("qty"), F.col("unit_price_net")
     return lines.select(

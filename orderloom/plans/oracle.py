@@ -313,6 +313,22 @@ versions AS (SELECT customer_id AS customer_nk, email, phone, segment, country,
     FROM numbered GROUP BY customer_id, email, phone, segment, country, city, postal_code, street, run),
 intervals AS (SELECT *, lead(valid_from) OVER (PARTITION BY customer_nk ORDER BY valid_from) AS valid_to FROM versions)"""
 
+_AS_OF_COSTS = f"""
+items AS ({_clean_items(_LANDED_ITEMS)}),
+products AS (SELECT part_sku, category, cost_net FROM ({_CLEAN_PRODUCTS})),
+costs AS (SELECT part_sku, DATE '1995-01-01' AS day, cost_net, false AS late FROM products
+    UNION ALL SELECT part_sku, DATE '1999-07-01', CAST(cost_net * CAST(1.25 AS DECIMAL(3,2)) AS DECIMAL(14,2)), false FROM products
+    UNION ALL SELECT part_sku, DATE '1997-03-05', CAST(cost_net * CAST(0.5 AS DECIMAL(3,2)) AS DECIMAL(14,2)), true FROM products
+        WHERE category IN ('promo', 'large')),
+costed AS (SELECT i.*, p.cost_net AS present,
+        (SELECT arg_max(c.cost_net, c.day) FROM costs c WHERE c.part_sku = i.part_sku
+            AND c.day <= CAST(o_orderdate AS DATE)) AS held,
+        (SELECT arg_max(c.cost_net, c.day) FROM costs c WHERE c.part_sku = i.part_sku
+            AND c.day <= CAST(o_orderdate AS DATE) AND NOT c.late) AS first_held
+    FROM items i JOIN orders ON CAST(o_orderkey AS VARCHAR) = i.order_id JOIN products p ON p.part_sku = i.part_sku),
+margins AS (SELECT *, CAST(qty * unit_price_net - qty * coalesce(held, present) AS DECIMAL(14,2)) AS margin,
+        CAST(qty * unit_price_net - qty * coalesce(first_held, present) AS DECIMAL(14,2)) AS first_margin FROM costed)"""
+
 _RANGES = f"""
 cleaned AS (SELECT part_sku, lower(compatible_make) AS make, lower(compatible_model) AS model,
         compatible_year_from AS low, compatible_year_to AS high FROM ({_CLEAN_PRODUCTS}) WHERE compatible_make IS NOT NULL),
@@ -542,19 +558,16 @@ WITH {_CUSTOMER_VERSIONS}
 SELECT * EXCLUDE (valid_to, days_observed) REPLACE ({_day("valid_from")}) FROM intervals
 WHERE valid_from <= DATE '2001-12-25' AND coalesce(valid_to > DATE '2001-12-25', true)""",
     "fact_margin_asof": f"""
-WITH items AS ({_clean_items(_LANDED_ITEMS)}),
-products AS (SELECT part_sku, category, cost_net FROM ({_CLEAN_PRODUCTS})),
-costs AS (SELECT part_sku, DATE '1995-01-01' AS day, cost_net FROM products
-    UNION ALL SELECT part_sku, DATE '1999-07-01', CAST(cost_net * CAST(1.25 AS DECIMAL(3,2)) AS DECIMAL(14,2)) FROM products
-    UNION ALL SELECT part_sku, DATE '1997-03-05', CAST(cost_net * CAST(0.5 AS DECIMAL(3,2)) AS DECIMAL(14,2)) FROM products
-        WHERE category IN ('promo', 'large')),
-costed AS (SELECT i.*, (SELECT arg_max(c.cost_net, c.day) FROM costs c WHERE c.part_sku = i.part_sku
-        AND c.day <= CAST(o_orderdate AS DATE)) AS held, p.cost_net AS present
-    FROM items i JOIN orders ON CAST(o_orderkey AS VARCHAR) = i.order_id JOIN products p ON p.part_sku = i.part_sku)
+WITH {_AS_OF_COSTS}
 SELECT order_item_id AS order_item_nk, CAST(part_sku AS BIGINT) AS product_id, CAST(qty AS DOUBLE) AS qty,
-    CAST(CAST(qty * unit_price_net AS DECIMAL(14,2)) AS DOUBLE) AS net_amount,
-    CAST(CAST(qty * unit_price_net - qty * coalesce(held, present) AS DECIMAL(14,2)) AS DOUBLE) AS margin_amount
-FROM costed""",
+    CAST(CAST(qty * unit_price_net AS DECIMAL(14,2)) AS DOUBLE) AS net_amount, CAST(margin AS DOUBLE) AS margin_amount
+FROM margins""",
+    "fact_margin_repriced": f"""
+WITH {_AS_OF_COSTS}
+SELECT order_item_id AS order_item_nk, CAST(part_sku AS BIGINT) AS product_id, CAST(qty AS DOUBLE) AS qty,
+    CAST(CAST(qty * unit_price_net AS DECIMAL(14,2)) AS DOUBLE) AS net_amount, CAST(margin AS DOUBLE) AS margin_amount,
+    margin IS DISTINCT FROM first_margin AS corrected
+FROM margins""",
     "bridge_product_compatibility": f"WITH {_RANGES} SELECT * FROM bridge",
     "bridge_product_gaps": f"""
 WITH {_RANGES}, following AS (SELECT *, lead(year_from) OVER (PARTITION BY part_sku, make, model

@@ -316,7 +316,7 @@ def dim_customer_as_of(spark: SparkSession, folder: str) -> DataFrame:
     return plain(found.drop("observed", "valid_to", "is_current"))
 
 
-def _product_costs(spark: SparkSession, folder: str) -> DataFrame:
+def _product_costs(spark: SparkSession, folder: str, late: bool = True) -> DataFrame:
     """Versions of the catalogue: costs of 1995, raised in 1999, and, sent late, halved for some parts from 1997 on."""
     products = settle(clean.clean_products(sample.landed_products(spark, folder))).select("part_sku", "category", "cost_net")
     times = {"1995-01-01": "1", "1999-07-01": "1.25", "1997-03-05": "0.5"}
@@ -325,20 +325,37 @@ def _product_costs(spark: SparkSession, folder: str) -> DataFrame:
         for day, rate in times.items()
     }
     batches["1997-03-05"] = batches["1997-03-05"].where("category in ('promo', 'large')")
+    if not late:
+        del batches["1997-03-05"]
     return _history(batches, "part_sku")
 
 
-def fact_margin_asof(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines with their margin at the cost that held on the day of the order."""
+def _lines_at_cost(spark: SparkSession, folder: str, costs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lines at the cost of their order's day, the orders and the parts."""
     items = clean.clean_order_items(sample.landed_order_items(spark, folder))
     products = clean.clean_products(sample.landed_products(spark, folder)).select(
         F.col("part_sku").cast("bigint").alias("product_id"), "part_sku", "cost_net"
     )
     orders = sample.star_orders(spark, folder).select("order_id", "order_nk", "date_id")
-    lines = facts.fact_order_items_as_of(items, orders, products, _product_costs(spark, folder))
+    return facts.fact_order_items_as_of(items, orders, products, costs), orders, products
+
+
+def fact_margin_asof(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with their margin at the cost that held on the day of the order."""
+    lines, _, _ = _lines_at_cost(spark, folder, _product_costs(spark, folder))
     return plain(lines.select("order_item_nk", "product_id", "qty", "net_amount", "margin_amount"))
 
 
+def fact_margin_repriced(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines loaded before a cost came late, and corrected then: as if loaded after, and which were touched."""
+    old, new = (settle(_product_costs(spark, folder, late)) for late in (False, True))
+    lines, orders, products = _lines_at_cost(spark, folder, old)
+    lines = settle(lines)
+    corrections = facts.margin_corrections(lines, orders, products, old, new)
+    repriced = facts.with_margins(lines, corrections)
+    return plain(repriced.select("order_item_nk", "product_id", "qty", "net_amount", "margin_amount", "corrected"))
+
+
 def _compatibility(spark: SparkSession, folder: str) -> DataFrame:
     """A bridge that took in three deliveries, the second and third with other years."""
     products = settle(clean.clean_products(sample.landed_products(spark, folder)))
@@ -713,6 +730,7 @@ _QUERIES: dict[str, Query] = {
     "dim_customer_history": dim_customer_history,
     "dim_customer_as_of": dim_customer_as_of,
     "fact_margin_asof": fact_margin_asof,
+    "fact_margin_repriced": fact_margin_repriced,
     "bridge_product_compatibility": bridge_product_compatibility,
     "bridge_product_gaps": bridge_product_gaps,
     "fact_orders_replayed": fact_orders_replayed,

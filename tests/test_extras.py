@@ -127,6 +127,24 @@ def test_histories_and_bridge_follow_the_batches(spark, loaded):
     ]
 
 
+def test_a_cost_that_comes_late_reprices_the_lines_it_touches(spark, loaded):
+    root, landing = loaded
+    deliver(landing, DAY2, orders=[order("O5", "C1", created="2026-01-02 08:00:00")], order_items=[item("I6", "O5", "S2")])
+    run_batch(spark, root, landing, DAY2, extras=ALL)
+    warehouse = Warehouse(spark, root)
+    before = warehouse.snapshot()
+    # Sent for the first day again: S1 was cheaper from then on.
+    deliver(landing, DAY1, products=[product("S1", cost="4.00")])
+    run_batch(spark, root, landing, DAY1, extras=ALL)
+    after = warehouse.snapshot()
+    lines = warehouse.star()["fact_order_items"]
+    assert rows(lines, "order_item_nk", "margin_amount") == [("I1", Decimal("92.00")), ("I2", Decimal("40.00")), ("I6", Decimal("40.00"))]
+    second = [f for f in before.folders["fact_order_items"] if f.endswith(DAY2)]
+    assert second and second[0] in after.folders["fact_order_items"]
+    assert len(after.folders["fact_order_items"]) == 2
+    same_marts(warehouse)
+
+
 def test_kept_marts_equal_the_full_ones_after_any_batches(spark, loaded):
     root, landing = loaded
     rng = random.Random(4)
