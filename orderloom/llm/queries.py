@@ -87,7 +87,6 @@ def op8_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The operator hashes survivors only; the query is asked for the digest of every text.
     digest = exact_dedup.text_digest(F.col("text")).alias("text_sha256")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", digest)
     marked = exact_dedup.exact_dedup(docs)

@@ -60,14 +60,8 @@ def test_no_python_on_the_path(documents):
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
 
 
-def test_texts_alone_in_length_and_prefix_are_not_hashed(documents):
-    """The digest is asked for behind the join that leaves survivors only, and is no part of the branch of the others."""
+def test_classes_hold_texts_that_share_length_and_prefix(documents):
+    """A text that is alone in its length is in no class; the others are told apart by their whole hash."""
     rows = [(i, "x" * i) for i in range(1, 30)] + [(100, "same"), (101, "same")]
-    docs = documents(rows)
-    assert exact_dedup.shared_keys(docs).count() == 1  # of length 4 two are alike
-    plan = exact_dedup.exact_dedup(docs)._jdf.queryExecution().optimizedPlan().toString().split("\n")
-    of_all, of_survivors = (i for i, line in enumerate(plan) if "Join LeftAnti" in line or "Join LeftSemi" in line)
-    assert "LeftAnti" in plan[of_all] and "LeftSemi" in plan[of_survivors]
-    hashing = [i for i, line in enumerate(plan) if "sha2(" in line]
-    # Above the join that leaves survivors, in its branch: one line, and nowhere else.
-    assert len(hashing) == 1 and of_all < hashing[0] < of_survivors
+    classes = exact_dedup.duplicate_classes(documents(rows)).collect()
+    assert [(r.keep_id, r.group_size) for r in classes] == [(101, 2)]
