@@ -102,8 +102,9 @@ def margin_corrections(
     )
     batch = [c for c in ("batch_date",) if c in items.columns]
     lines = items.select("order_item_nk", "order_id", "product_id", "qty", "unit_price_net", "margin_amount", *batch)
-    dated = lines.join(parts, "product_id").join(orders.select("order_id", order_day(orders).alias("order_day")), "order_id")
-    costed = asof_join(dated, new_history, "part_sku", "order_day", ["cost_net"])
+    order = orders.select("order_id", order_day(orders).alias("order_day"))
+    dated = lines.join(parts, "product_id").join(order.hint("merge"), "order_id")
+    costed = asof_join(dated, new_history, "part_sku", "order_day", ["cost_net"], days=order)
     now = x.line_margin(F.col("qty"), F.col("unit_price_net"), F.coalesce("cost_net", "present_cost"))
     moved = costed.withColumn("_now", now).where(~F.col("_now").eqNullSafe(F.col("margin_amount")))
     return moved.select("order_item_nk", F.col("_now").alias("margin_amount"), *batch)

@@ -350,7 +350,8 @@ def fact_margin_repriced(spark: SparkSession, folder: str) -> DataFrame:
     """Lines loaded before a cost came late, and corrected then: as if loaded after, and which were touched."""
     old, new = (settle(_product_costs(spark, folder, late)) for late in (False, True))
     lines, orders, products = _lines_at_cost(spark, folder, old)
-    lines = settle(lines)
+    # Only what the corrections and the result read is stored.
+    lines = settle(lines.select("order_item_nk", "order_id", "product_id", "qty", "unit_price_net", "net_amount", "margin_amount"))
     corrections = facts.margin_corrections(lines, orders, products, old, new)
     repriced = facts.with_margins(lines, corrections)
     return plain(repriced.select("order_item_nk", "product_id", "qty", "net_amount", "margin_amount", "corrected"))
