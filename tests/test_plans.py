@@ -203,3 +203,13 @@ def test_marts_over_hot_keys_are_right(spark):
             customers.withColumn("segment", F.lit("a")), fact_orders, days, items
         ).where("customer_nk = 'C0'").first()
         assert rfm.frequency > 20_000
+
+
+def test_lines_meet_their_orders_by_shuffle_at_every_size(spark):
+    """Orders follow the lines, so they never pass through the driver, however small their files."""
+    loaded = facts.fact_order_items(
+        clean.clean_order_items(sample.landed_order_items(spark, FOLDER)),
+        sample.star_orders(spark, FOLDER).select("order_id", "order_nk"),
+        sample.star_products(spark, FOLDER).select("product_id", "part_sku", "cost_net"),
+    )
+    assert re.search(r"SortMergeJoin \[order_id#\d+\], \[order_id#\d+\]", plan(loaded))
