@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -59,6 +60,16 @@ def test_long_texts_are_cut_into_segments_without_a_trace(monkeypatch):
     assert anchors() == whole and len(set(whole)) == len(whole)
 
 
+def test_memory_of_hashing_is_bounded_whatever_the_text():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 123, size, np.uint8).tobytes() for size in (6_000_000, *[3_000] * 1_000)]
+    tracemalloc.start()
+    found = sum(len(part[0]) for part in repeats.anchors_of(texts, repeats.Shape(), repeats.Hashes(1)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found > 50_000 and peak < 48 << 20
+
+
 def test_merging_shards_equals_sorting():
     rng = np.random.default_rng(7)
     data = rng.integers(97, 100, (500, 16), np.uint8)
