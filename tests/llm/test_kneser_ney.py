@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,6 +104,67 @@ def test_sorted_hashes_are_mapped_and_found():
         assert held.find(keys[[5, 999, 0]]).tolist() == [5.0, 999.0, 0.0]
 
 
+@pytest.mark.parametrize("most_frequent", [3, 50_000])
+def test_frequent_words_are_dealt_over_several_shares_and_change_nothing(documents, monkeypatch, most_frequent):
+    monkeypatch.setattr(kneser_ney, "MOST_FREQUENT", most_frequent)
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["the", "the", "of", f"w{rng.randrange(40)}"]) for _ in range(rng.randrange(60)))) for i in range(60)]
+    frequent = kneser_ney.frequent_words(documents(rows).select("text"), 12_000, len(rows), 9)
+    the = frequent.find(np.array([kneser_ney.hash_of(b"the"), 12345], np.uint64))
+    assert frequent.spread[the[0]] > 1 and the[1] == -1
+    found = kneser_ney.score(documents(rows), F.col("doc_id") % 5 != 1, order=3, share_bytes=700).collect()
+    wanted = brute([(t, i % 5 != 1) for i, t in rows], 3)
+    got = {r.doc_id: tuple(r)[1:] for r in found}
+    for (doc_id, _), row in zip(rows, wanted, strict=True):
+        np.testing.assert_allclose(got[doc_id], row, rtol=1e-9)
+
+
+def test_only_histories_of_spread_words_are_asked_for(documents):
+    # Before, every share asked for all of its histories, and they came back.
+    names = np.array([kneser_ney.START, kneser_ney.END, kneser_ney.hash_of(b"the")], np.uint64)
+    rows = documents([(i, f"the a{i} b{i} the c{i} d{i}") for i in range(20)]).selectExpr("doc_id id", "text", "true train")
+    for spread, histories in ((1, 0), (3, 1)):
+        frequent = kneser_ney.Frequent(names, np.array([1, 1, spread]))
+        dealt = rows.coalesce(1).mapInArrow(kneser_ney._deal(2, 3, frequent), "part int, uid bigint, kind int, body binary").collect()
+        shares = [kneser_ney.Share([r["body"] for r in dealt if r["part"] == p and r["kind"] == 0], 2, frequent) for p in range(3)]
+        assert {len(keys) for share in shares for keys, _ in share.asked()[1:]} == {histories}
+        assert sum(len(share.of_token) for share in shares) == 140
+
+
+def test_sums_of_texts_are_added_up_in_the_task():
+    # Before, every share sent its own sums of every text.
+    body = [kneser_ney.pack((np.array(d, np.uint16), *(np.array(v, float) for v in (s, s)), np.array(k, np.uint32), 9)) for d, s, k in (([0, 2], [1, 2], [1, 1]), ([2, 3], [4, 8], [2, 3]))]
+    added = kneser_ney.AddedUp()
+    for uid, b in ((7, body[0]), (7, body[1]), (8, body[1])):
+        added.add(uid, b)
+    out = added.rows().to_pylist()
+    assert [(r["uid"], r["kind"]) for r in out] == [(7, 0), (8, 0)] and not added.held
+    docs, scores, _, known, tokens = kneser_ney.unpack(out[0]["body"])
+    assert (docs.tolist(), scores.tolist(), known.tolist(), tokens) == ([0, 2, 3], [1, 6, 8], [1, 3, 3], 9)
+
+
+def test_tokens_of_a_slice_of_texts():
+    texts = ["a b", "", " \t", "Émile said\x0bÉMILE\x85x", " The\u00a0end  the ", "x"] * 3
+    frequent = kneser_ney.Frequent(np.array([kneser_ney.START, kneser_ney.END, kneser_ney.hash_of(b"the")], np.uint64), np.ones(3, int))
+    for start in (0, 2, 5):
+        sizes, codes, names = kneser_ney._codes(pa.array(texts).slice(start), frequent)
+        wanted = [tokens(t) for t in texts[start:]]
+        assert sizes.tolist() == [len(w) for w in wanted]
+        hashes = {"</s>": kneser_ney.END}
+        assert names[codes].tolist() == [hashes.get(w, kneser_ney.hash_of(w.encode())) for words in wanted for w in words]
+
+
+@pytest.mark.parametrize("bits", [48, 64])
+def test_distinct_keys_also_where_their_upper_bits_agree(bits):
+    rng = np.random.default_rng(2)
+    spread = rng.integers(0, 1 << bits, 3000, np.uint64)
+    near = np.uint64(1 << (bits - 1)) + rng.integers(0, 9, 3000, np.uint64)
+    for keys in (np.append(spread, spread[:500]), np.concatenate([spread, near]), near[:1], near[:0]):
+        names, first, inverse = kneser_ney.distinct(keys, bits)
+        assert names.tolist() == np.unique(keys).tolist()
+        assert (names[inverse] == keys).all() and (keys[first] == names).all()
+
+
 def test_registered_query_scores_with_two_words_of_history(spark):
     small = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
