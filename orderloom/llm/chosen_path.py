@@ -458,13 +458,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     docs, back = shielded(docs, "_own_key", "_id", "_key")
     rows, linked = classes(docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")))
-    classed = rows.where("set_id is not null").join(linked, "set_id", "left")
-    stays = classed.groupBy(F.coalesce("label", "set_id").alias("label")).agg(
-        F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")).alias("first")
-    ).select(F.col("first.id").alias("_id"), F.col("first.key").alias("_key"))
+    alike = rows.where("set_id is not null").groupBy("set_id", "id", "key").agg(F.count(F.lit(1)).alias("copies"))
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key", "copies")).alias("first")
+    stays = alike.join(linked, "set_id", "left").groupBy(F.coalesce("label", "set_id").alias("label")).agg(first)
+    stays = settle(stays.select(*[F.col(f"first.{c}").alias(f"_{c}") for c in ("id", "key", "copies")]))
     text = whole(quoted(text_col))
     keyed = docs.withColumn("_own_key", F.unhex(F.md5(text)))
-    wordless = keyed.where(~text.rlike(WORD)).drop("_own_key")
     match = F.col("_own_key").eqNullSafe(F.col("_key")) & quoted(id_col).eqNullSafe(F.col("_id"))
-    kept = keyed.where(text.rlike(WORD)).join(settle(stays), match, "left_semi").dropDuplicates([id_col, "_own_key"])
-    return kept.drop("_own_key").unionByName(wordless).withColumnsRenamed(back)
+    kept = keyed.join(stays.drop("_copies"), match, "left_semi")
+    # Whole rows move once more, or are read once more, only where there is something to find.
+    if not stays.where("_copies > 1").isEmpty():
+        kept = kept.dropDuplicates([id_col, "_own_key"])
+    kept = kept.drop("_own_key")
+    if not rows.where("set_id is null").isEmpty():
+        kept = kept.unionByName(docs.where(~text.rlike(WORD)))
+    return kept.withColumnsRenamed(back)
